@@ -15,9 +15,13 @@ def is_true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+# Every whitespace character of Unicode; the highest is the ideographic space U+3000.
+WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+
+
 def strip_whitespace(text: Column) -> Column:
     """Remove leading and trailing whitespace of any Unicode kind."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.trim(text, F.lit(WHITESPACE))
 
 
 def elapsed_days(later: Column, earlier: Column) -> Column:

@@ -25,13 +25,12 @@ def valid_lines(raw: DataFrame) -> DataFrame:
 def product_lines(raw: DataFrame) -> DataFrame:
     """Valid lines that sell or return a product, with revenue.
 
-    The product rules look at one row at a time and so commute with the removal of
-    copies. They are put first to keep their rows out of its shuffle.
+    The product rules look at one row at a time, and padding does not matter to them,
+    so they commute with the other steps. They are put first to keep their rows out of
+    the shuffle that removes copies.
     """
     return (
-        raw.transform(c.set_types)
-        .transform(c.strip_descriptions)
-        .transform(c.drop_non_product_codes)
+        raw.transform(c.drop_non_product_codes)
         .transform(c.drop_non_product_text)
         .transform(valid_lines)
         .transform(c.add_revenue)

@@ -153,12 +153,12 @@ def moment(seconds: str) -> str:
 
 def box(column: str) -> str:
     value = f"CAST({column} AS DOUBLE)"
-    return f"""SELECT '{column}' AS "column", tx.year, count(*) AS count, any_value(q25) AS q25,
-  any_value(q50) AS q50, any_value(q75) AS q75,
-  least(min({value}) FILTER (WHERE {value} BETWEEN q25 - (q75 - q25) * 1.5 AND q75 + (q75 - q25) * 1.5),
-        any_value(q25)) AS whisker_low,
-  greatest(max({value}) FILTER (WHERE {value} BETWEEN q25 - (q75 - q25) * 1.5 AND q75 + (q75 - q25) * 1.5),
-           any_value(q75)) AS whisker_high,
+    return f"""SELECT '{column}' AS "column", tx.year, count(*) AS count, round(any_value(q25), 6) AS q25,
+  round(any_value(q50), 6) AS q50, round(any_value(q75), 6) AS q75,
+  round(least(min({value}) FILTER (WHERE {value} BETWEEN q25 - (q75 - q25) * 1.5 AND q75 + (q75 - q25) * 1.5),
+        any_value(q25)), 6) AS whisker_low,
+  round(greatest(max({value}) FILTER (WHERE {value} BETWEEN q25 - (q75 - q25) * 1.5 AND q75 + (q75 - q25) * 1.5),
+           any_value(q75)), 6) AS whisker_high,
   count(*) FILTER (WHERE NOT {value} BETWEEN q25 - (q75 - q25) * 1.5 AND q75 + (q75 - q25) * 1.5) AS outliers
 FROM tx JOIN (SELECT year, quantile_cont({value}, 0.25) AS q25, quantile_cont({value}, 0.5) AS q50,
                      quantile_cont({value}, 0.75) AS q75 FROM tx GROUP BY year) q ON tx.year = q.year

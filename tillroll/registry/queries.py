@@ -180,7 +180,9 @@ QUERIES: dict[str, Query] = {
     "spearman": lambda spark, folder: rounded(
         distributions.spearman(clean_plan.clean_transactions(invoice_lines(spark, folder)), NUMERIC)
     ),
-    "box_stats": on_clean(distributions.box_stats),
+    "box_stats": lambda spark, folder: rounded(
+        distributions.box_stats(clean_plan.clean_transactions(invoice_lines(spark, folder)))
+    ),
     "length_histogram": on_clean(distributions.length_histogram),
     "short_descriptions": on_clean(profiling.short_descriptions),
     "question_descriptions": on_clean(profiling.question_descriptions),

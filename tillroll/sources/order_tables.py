@@ -7,54 +7,95 @@ the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Columns in use, so that no job has to look for the schema.
+COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, "
+    "l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string",
+}
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(COLUMNS[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw transactions: lines joined to their order, customer, country and product."""
-    lines = load(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    orders = load(spark, folder, "orders")
-    buyers = (
-        load(spark, folder, "customer")
-        .join(load(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("c_custkey").alias("o_custkey"), "n_name")
-    )
-    parts = load(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    joined = lines.join(orders, "o_orderkey").join(buyers, "o_custkey").join(parts, "l_partkey")
+def every(key: str, n: int) -> Column:
+    return F.col(key) % n == 0
 
-    def every(key: str, n: int):
-        return F.col(key) % n == 0
 
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     cancelled = F.col("l_returnflag") == "R"
-    returned = cancelled & ~every("o_orderkey", 41)
+    returned = cancelled & ~every("l_orderkey", 41)
+    quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int")
+    price = F.when(every("l_partkey", 89), 0).otherwise(F.col("l_extendedprice"))
+    copies = F.when(F.col("quantity") % 25 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (
+        load(spark, folder, "lineitem")
+        .select(
+            "l_orderkey",
+            "l_partkey",
+            F.concat(F.when(cancelled, "C").otherwise(""), F.col("l_orderkey").cast("string")).alias("invoice"),
+            quantity.alias("quantity"),
+            price.cast("decimal(10,2)").alias("price"),
+        )
+        .withColumn("copy", F.explode(copies))
+    )
+
+
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    time_of_day = F.make_dt_interval(secs=(F.col("o_orderkey") * 7919 % 86400).cast("decimal(18,6)"))
+    return load(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        (F.col("o_orderdate") + time_of_day).alias("invoice_date"),
+        F.when(~every("o_orderkey", 5), F.col("o_custkey")).cast("int").alias("customer_id"),
+    )
+
+
+def products(spark: SparkSession, folder: str) -> DataFrame:
     name = F.col("p_name")
-    rows = joined.select(
-        F.concat(F.when(cancelled, "C").otherwise(""), F.col("o_orderkey").cast("string")).alias("invoice"),
-        F.when(every("l_partkey", 97), "POST")
-        .otherwise(F.col("l_partkey").cast("string"))
+    return load(spark, folder, "part").select(
+        "p_partkey",
+        F.when(every("p_partkey", 97), "POST")
+        .otherwise(F.col("p_partkey").cast("string"))
         .alias("stock_code"),
-        F.when(every("l_partkey", 83), None)
-        .when(every("l_partkey", 79), F.concat(name, F.lit(" Manual")))
-        .when(every("l_partkey", 73), F.concat(F.lit("  "), name, F.lit(" ")))
-        .when(every("l_partkey", 71), "damaged?")
-        .when(every("l_partkey", 67), F.substring(name, 1, 3))
+        F.when(every("p_partkey", 83), None)
+        .when(every("p_partkey", 79), F.concat(name, F.lit(" Manual")))
+        .when(every("p_partkey", 73), F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(every("p_partkey", 71), "damaged?")
+        .when(every("p_partkey", 67), F.substring(name, 1, 3))
         .otherwise(name)
         .alias("description"),
-        F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int").alias("quantity"),
-        (F.col("o_orderdate") + F.expr("make_dt_interval(0, 0, 0, (o_orderkey * 7919) % 86400)")).alias(
-            "invoice_date"
-        ),
-        F.when(every("l_partkey", 89), 0)
-        .otherwise(F.col("l_extendedprice"))
-        .cast("decimal(10,2)")
-        .alias("price"),
-        F.when(~every("o_orderkey", 5), F.col("o_custkey")).cast("int").alias("customer_id"),
-        F.col("n_name").alias("country"),
     )
-    copies = F.when(F.col("quantity") % 25 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return rows.withColumn("copy", F.explode(copies)).drop("copy")
+
+
+def invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw transactions: lines joined to their product, order, customer and country.
+
+    Columns are made before the joins, on the table they depend on, so that filters on
+    them reach that table. No join is forced: sizes decide.
+    """
+    return (
+        order_lines(spark, folder)
+        .join(products(spark, folder), F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(load(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            "invoice",
+            "stock_code",
+            "description",
+            "quantity",
+            "invoice_date",
+            "price",
+            "customer_id",
+            F.col("n_name").alias("country"),
+        )
+    )

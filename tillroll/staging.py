@@ -8,6 +8,7 @@ file sizes to choose join strategies by.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -21,9 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tillroll-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tillroll-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
