@@ -178,7 +178,7 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     for a in columns:
         cells = [F.lit(a).alias("column")]
         for b in columns:
-            scale = F.sqrt(moment(a, a)) * F.sqrt(moment(b, b))
+            scale = F.sqrt(moment(a, a) * moment(b, b))
             cells.append((moment(a, b) / F.nullif(scale, F.lit(0.0))).alias(b))
         matrix.append(cells)
     return sums.select(one_row_each(*matrix))
