@@ -120,12 +120,12 @@ def test_segments_cover_the_grid_once(spark):
     grid = spark.range(1, 6).select(F.col("id").cast("int").alias("r")).crossJoin(
         spark.range(1, 6).select(F.col("id").cast("int").alias("f"))
     )
-    found = {(row.r, row.f): row.s for row in grid.select("r", "f", segment(F.col("r"), F.col("f")).alias("s")).collect()}
+    found = {(row.r, row.f): row.s for row in grid.select("r", "f", segment("r", "f").alias("s")).collect()}
     for cell in found:
         names = [name for r, f, name in SEGMENTS if r[0] <= cell[0] <= r[1] and f[0] <= cell[1] <= f[1]]
         assert names == [found[cell]]
     assert found[5, 5] == "champions" and found[3, 3] == "need_attention" and found[1, 5] == "cant_lose"
     assert found[4, 3] == found[5, 2] == "potential_loyalists" and found[3, 5] == found[4, 4] == "loyal_customers"
     assert found[4, 1] == "promising" and found[5, 1] == "new_customers" and found[2, 3] == "at_risk"
-    outside = spark.createDataFrame([(6, 1)], "r int, f int").select(segment(F.col("r"), F.col("f")).alias("s"))
+    outside = spark.createDataFrame([(6, 1)], "r int, f int").select(segment("r", "f").alias("s"))
     assert outside.first().s is None

@@ -11,10 +11,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import METRIC_TYPE, one_row_each, signed_log
+from tillroll.functions.columns import one_row_each, signed_log
 from tillroll.operators.ordering import QUARTILES, quantile_picks, running_total, value_counts
 from tillroll.operators.sampling import sample_rows
-from tillroll.staging import stage
+from tillroll.staging import stage, stage_each
 
 
 def histogram(counts: DataFrame, bins: int) -> DataFrame:
@@ -116,19 +116,19 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year"
     """Quartiles, whiskers at 1.5 interquartile ranges and outliers per column and key."""
     columns = columns or ["quantity", "price"]
     by = ["column", key]
-    counts = value_counts(df.filter(F.col(key).isNotNull()), columns, [key])
-    ranked = running_total(counts, by, ["value"], "n")
+    counts = stage(value_counts(df.filter(F.col(key).isNotNull()), columns, [key]), "counts")
+    ranked = running_total(counts, by, ["value"], "n", rows=counts.count())
     boxes = ranked.groupBy(*by).agg(
         F.max("total").alias("count"),
         *[pick.alias(name) for name, pick in quantile_picks(QUARTILES).items()],
     )
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    value = F.col("value").cast("double")
+    value = F.col("value")
     inside = value.between(F.col("q25") - reach, F.col("q75") + reach)
     quartiles = ["count", "q25", "q50", "q75"]
     # One box per column and key.
     return (
-        ranked.join(F.broadcast(boxes), by)
+        counts.join(F.broadcast(boxes), by)
         .groupBy(*by, *quartiles)
         .agg(
             F.min(F.when(inside, value)).alias("low"),
@@ -148,28 +148,24 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year"
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rank correlation of every pair of columns, with average ranks for ties.
 
-    Ranks are found on distinct values. They are kept as twice the distance from the
-    mean rank, a whole number, so that products add up exactly. Rows with a null in any
-    of the columns are left out.
+    Ranks are found on distinct values and kept as twice the distance from the mean
+    rank, a whole number. Rows with a null in any of the columns are left out.
     """
     present = reduce(and_, [F.col(name).isNotNull() for name in columns])
-    rows = df.filter(present).select(*[F.col(name).cast(METRIC_TYPE).alias(name) for name in columns])
+    rows = df.filter(present).select(*[F.col(name).cast("double").alias(name) for name in columns])
     ranked = running_total(value_counts(rows, columns), ["column"], ["value"], "n")
     offset = F.lit(2) * F.col("upto") - F.col("n") - F.col("total")
-    ranks = ranked.select("column", "value", offset.alias("offset"))
-    # Each column's ranks are a staged table of their own: the planner sees its size
-    # and broadcasts short ones; for long ones adaptive execution splits hot values.
-    for name in columns:
-        lookup = ranks.filter(F.col("column") == name)
-        lookup = stage(lookup.select(F.col("value").alias(name), F.col("offset").alias(f"offset_{name}")), "ranks")
-        rows = rows.join(lookup, name)
+    ranks = ranked.select("column", "value", offset.cast("double").alias("offset"))
+    # The planner sees the size of each column's ranks and broadcasts short ones; for
+    # long ones adaptive execution splits hot values.
+    for name, lookup in stage_each(ranks, "column", columns, "ranks").items():
+        rows = rows.join(lookup.toDF(name, f"offset_{name}"), name)
 
     def product(a: str, b: str):
-        left, right = (F.col(f"offset_{name}").cast("decimal(19,0)") for name in (a, b))
-        return F.sum((left * right).cast("decimal(38,0)"))
+        return F.sum(F.col(f"offset_{a}") * F.col(f"offset_{b}"))
 
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    sums = rows.agg(*[product(a, b).cast("double").alias(f"{a}*{b}") for a, b in pairs])
+    sums = rows.agg(*[product(a, b).alias(f"{a}*{b}") for a, b in pairs])
 
     def moment(a: str, b: str):
         return F.col(f"`{a}*{b}`" if (a, b) in pairs else f"`{b}*{a}`")

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import METRIC_TYPE
 from tillroll.staging import stage
 
-# Up to this many rows a single task sorts faster than the sliced plan starts.
+# Up to this many rows one task per group sorts faster than the sliced plan starts.
 SINGLE_TASK_ROWS = "spark.tillroll.singleTaskRows"
-SINGLE_TASK_ROWS_DEFAULT = 1_000_000
+SINGLE_TASK_ROWS_DEFAULT = 200_000
 
 
 def running_total(
@@ -75,22 +75,32 @@ def running_total(
     )
 
 
-def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str], kind: str) -> DataFrame:
     """One row per column and row, as (keys, column, value) with values of one type."""
-    typed = df.select(*keys, *[F.col(name).cast(METRIC_TYPE).alias(name) for name in columns])
+    typed = df.select(*keys, *[F.col(name).cast(kind).alias(name) for name in columns])
     return typed.unpivot(list(keys), list(columns), "column", "value")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """How often each non-null value occurs per column and key: (keys, column, value, n)."""
-    values = long_form(df, columns, keys).filter(F.col("value").isNotNull())
+    """How often each non-null value occurs per column and key: (keys, column, value, n).
+
+    Values are doubles, the type of all statistics. All columns are counted in one
+    pass, and a frequent value is a single row from here on.
+    """
+    values = long_form(df, columns, keys, "double").filter(F.col("value").isNotNull())
     return values.groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def rank_rows(df: DataFrame, key: str, columns: Sequence[str], rows: int | None = None) -> DataFrame:
-    """Rank of every row by each column, ties broken by ``key``: (key, column, value, rank)."""
+    """Rank of every row by each column, ties broken by ``key``: (key, column, value, rank).
+
+    Values stay exact decimals, so that ranks follow the amounts to the last digit.
+    """
     ranked = running_total(
-        long_form(df, columns, [key]), ["column"], ["value", key], rows=None if rows is None else rows * len(columns)
+        long_form(df, columns, [key], METRIC_TYPE),
+        ["column"],
+        ["value", key],
+        rows=None if rows is None else rows * len(columns),
     )
     return ranked.select(key, "column", "value", F.col("upto").alias("rank"))
 
@@ -107,7 +117,7 @@ def quantile_picks(quantiles: dict[str, tuple[int, int]]) -> dict[str, Column]:
 
     def value_at(step):
         holds = (F.col("upto") - F.col("n") <= step) & (step < F.col("upto"))
-        return F.max(F.when(holds, F.col("value"))).cast("double")
+        return F.max(F.when(holds, F.col("value")))
 
     picks = {}
     for name, (top, bottom) in quantiles.items():
@@ -124,20 +134,20 @@ def describe_counts(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
     ``counts`` has a row for each distinct (by, value) with its frequency ``n``.
     """
-    ranked = running_total(counts, by, ["value"], "n")
-    means = ranked.groupBy(*by).agg(
-        (F.sum(F.col("value") * F.col("n")).cast("double") / F.max("total")).alias("mean")
-    )
-    away = F.col("value").cast("double") - F.col("mean")
+    counts = stage(counts, "counts")
+    # One mean per group.
+    means = counts.groupBy(*by).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    away = F.col("value") - F.col("mean")
     return (
-        ranked.join(F.broadcast(means), list(by))
+        running_total(counts, by, ["value"], "n", rows=counts.count())
+        .join(F.broadcast(means), list(by))
         .groupBy(*by)
         .agg(
             F.max("total").alias("count"),
             F.max("mean").alias("mean"),
             F.sqrt(F.sum(F.col("n") * away * away) / F.nullif(F.max("total") - 1, F.lit(0))).alias("std"),
-            F.min("value").cast("double").alias("min"),
+            F.min("value").alias("min"),
             *[pick.alias(name) for name, pick in quantile_picks(QUARTILES).items()],
-            F.max("value").cast("double").alias("max"),
+            F.max("value").alias("max"),
         )
     )

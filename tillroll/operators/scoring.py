@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +37,7 @@ def last_ranks(n: int, buckets: int, rule: str) -> list[int]:
 def add_scores(
     df: DataFrame, key: str = "customer_id", rule: str = "ntile", buckets: int = BUCKETS
 ) -> DataFrame:
-    """Add a 1..``buckets`` score per metric, ordered by (metric, key).
+    """Add a 1..``buckets`` score per metric, ordered by (metric, key), for a whole-number key.
 
     ``df`` has one row per key and is read several times, so it should be staged. Only
     the row at the end of each bucket is looked up (at most ``buckets - 1`` per metric);
@@ -53,17 +50,16 @@ def add_scores(
     edges = ranked.filter(F.col("rank").isin(sorted(set(ends)))).collect()
     edge_at = {(edge["column"], edge["rank"]): (edge["value"], edge[key]) for edge in edges}
 
-    def beyond(metric: str, end: int) -> Column:
+    def beyond(metric: str, end: int) -> str:
         value, owner = edge_at[metric, end]
-        here, edge = F.col(metric).cast(METRIC_TYPE), F.lit(value).cast(METRIC_TYPE)
-        after = (here > edge) | ((here == edge) & (F.col(key) > owner))
-        return F.when(after, 1).otherwise(0)
+        here, edge = f"CAST({metric} AS {METRIC_TYPE})", f"CAST({value} AS {METRIC_TYPE})"
+        return f"int({here} > {edge} OR ({here} = {edge} AND {key} > {owner:d}))"
 
     scores = {}
     for metric, (name, smallest_is_best) in SCORES.items():
         # Without rows every end is rank 0, which no row holds.
-        bucket = reduce(add, [beyond(metric, end) for end in ends if end], F.lit(1))
-        scores[name] = (F.lit(buckets + 1) - bucket if smallest_is_best else bucket).cast("int")
+        bucket = " + ".join(["1", *[beyond(metric, end) for end in ends if end]])
+        scores[name] = F.expr(f"{buckets + 1} - ({bucket})" if smallest_is_best else bucket)
     return df.withColumns(scores)
 
 
@@ -82,21 +78,21 @@ SEGMENTS = [
 ]
 
 
-def segment(recency_score: Column, frequency_score: Column) -> Column:
-    """Name of the segment; null for scores outside 1..5."""
+def segment(recency_score: str, frequency_score: str) -> Column:
+    """Name of the segment for two score columns; null for scores outside 1..5."""
     rules = [
-        F.when(recency_score.between(*recency) & frequency_score.between(*frequency), name)
-        for recency, frequency, name in SEGMENTS
+        f"WHEN {recency_score} BETWEEN {r[0]} AND {r[1]} AND {frequency_score} BETWEEN {f[0]} AND {f[1]} "
+        f"THEN '{name}'"
+        for r, f, name in SEGMENTS
     ]
-    return F.coalesce(*rules)
+    return F.expr(f"CASE {' '.join(rules)} END")
 
 
 def add_segments(df: DataFrame) -> DataFrame:
-    recency, frequency = F.col("recency_score"), F.col("frequency_score")
     return df.withColumns(
         {
-            "r_f_score": F.concat(recency.cast("string"), frequency.cast("string")),
-            "segment": segment(recency, frequency),
+            "r_f_score": F.expr("concat(recency_score, frequency_score)"),
+            "segment": segment("recency_score", "frequency_score"),
         }
     )
 

@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the call site of every column costs more than building the column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

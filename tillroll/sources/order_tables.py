@@ -7,7 +7,7 @@ the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,53 +26,50 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(COLUMNS[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core for a table that is read in fewer pieces than there are cores.
+
+    Such a table is small; a large one is read in many pieces and left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    cancelled = F.col("l_returnflag") == "R"
-    returned = cancelled & ~every("l_orderkey", 41)
-    quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int")
-    price = F.when(every("l_partkey", 89), 0).otherwise(F.col("l_extendedprice"))
-    copies = F.when(F.col("quantity") % 25 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        load(spark, folder, "lineitem")
-        .select(
+        spread(load(spark, folder, "lineitem"), "l_orderkey")
+        .selectExpr(
             "l_orderkey",
             "l_partkey",
-            F.concat(F.when(cancelled, "C").otherwise(""), F.col("l_orderkey").cast("string")).alias("invoice"),
-            quantity.alias("quantity"),
-            price.cast("decimal(10,2)").alias("price"),
+            "concat(if(l_returnflag = 'R', 'C', ''), l_orderkey) AS invoice",
+            "CAST(if(l_returnflag = 'R' AND l_orderkey % 41 <> 0, -l_quantity, l_quantity) AS INT) AS quantity",
+            "CAST(if(l_partkey % 89 = 0, 0, l_extendedprice) AS DECIMAL(10,2)) AS price",
         )
-        .withColumn("copy", F.explode(copies))
+        .selectExpr("*", "explode(if(quantity % 25 = 0, array(1, 2), array(1))) AS copy")
     )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    time_of_day = F.make_dt_interval(secs=(F.col("o_orderkey") * 7919 % 86400).cast("decimal(18,6)"))
-    return load(spark, folder, "orders").select(
+    return load(spark, folder, "orders").selectExpr(
         "o_orderkey",
         "o_custkey",
-        (F.col("o_orderdate") + time_of_day).alias("invoice_date"),
-        F.when(~every("o_orderkey", 5), F.col("o_custkey")).cast("int").alias("customer_id"),
+        "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400) AS invoice_date",
+        "CAST(if(o_orderkey % 5 = 0, NULL, o_custkey) AS INT) AS customer_id",
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    name = F.col("p_name")
-    return load(spark, folder, "part").select(
+    return load(spark, folder, "part").selectExpr(
         "p_partkey",
-        F.when(every("p_partkey", 97), "POST")
-        .otherwise(F.col("p_partkey").cast("string"))
-        .alias("stock_code"),
-        F.when(every("p_partkey", 83), None)
-        .when(every("p_partkey", 79), F.concat(name, F.lit(" Manual")))
-        .when(every("p_partkey", 73), F.concat(F.lit("  "), name, F.lit(" ")))
-        .when(every("p_partkey", 71), "damaged?")
-        .when(every("p_partkey", 67), F.substring(name, 1, 3))
-        .otherwise(name)
-        .alias("description"),
+        "if(p_partkey % 97 = 0, 'POST', CAST(p_partkey AS STRING)) AS stock_code",
+        """
+        CASE WHEN p_partkey % 83 = 0 THEN NULL
+             WHEN p_partkey % 79 = 0 THEN p_name || ' Manual'
+             WHEN p_partkey % 73 = 0 THEN '  ' || p_name || ' '
+             WHEN p_partkey % 71 = 0 THEN 'damaged?'
+             WHEN p_partkey % 67 = 0 THEN substring(p_name, 1, 3)
+             ELSE p_name END AS description
+        """,
     )
 
 

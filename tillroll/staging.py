@@ -40,3 +40,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_each(df: DataFrame, column: str, values: list[str], name: str = "stage") -> dict[str, DataFrame]:
+    """Write ``df`` once, split by ``column``, and return a scan for each of its ``values``.
+
+    Every part is a table of its own, so the planner knows its size.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.partitionBy(column).parquet(path)
+    rest = df.drop(column)
+    return {value: spark.read.schema(rest.schema).parquet(f"{path}/{column}={value}") for value in values}
