@@ -6,13 +6,14 @@ import math
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import one_row_each, signed_log
 from tillroll.operators.ordering import QUARTILES, quantile_picks, running_total, value_counts
+from tillroll.operators.profiling import numeric_columns
 from tillroll.operators.sampling import sample_rows
 from tillroll.staging import stage, stage_each
 
@@ -24,7 +25,7 @@ def histogram(counts: DataFrame, bins: int) -> DataFrame:
     """
     ends = counts.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     point = F.col("lo") == F.col("hi")
-    # One row per column.
+    # One row per column of the frame, which bounds the broadcast.
     ranges = ends.select(
         "column",
         F.when(point, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -70,8 +71,8 @@ def density(
     """Gaussian kernel density of a sample's signed logs at evenly spaced points.
 
     The bandwidth is Scott's: the sample deviation times count to the power -1/5. Each
-    sampled value carries the vector of its kernels, and the vectors are averaged as
-    such, so no (value, point) pair is ever a row.
+    batch of sampled values is reduced to one sum per point before it leaves its task,
+    so no (value, point) pair is ever a row.
     """
     columns = columns or DISTRIBUTION_COLUMNS
     sampled = sample_rows(df, n, seed).select(*columns)
@@ -89,27 +90,36 @@ def density(
             F.max("x").alias("hi"),
         )
     )
-    # One row per column, without columns that have no spread and so no density.
+    # One row per column of the frame, without those that have no spread and so no density.
     grid = spread.filter("sd > 0").select(
         "column",
+        "count",
         "lo",
         ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"),
         (F.col("sd") * F.pow(F.col("count"), F.lit(-0.2))).alias("width"),
     )
 
-    def kernel(i):
-        z = (F.col("x") - F.col("lo") - i * F.col("step")) / F.col("width")
-        return F.exp(z * z * -0.5) / (F.col("width") * math.sqrt(2 * math.pi))
+    def kernel_sums(batches):
+        steps = np.arange(points)
+        for batch in batches:
+            for column, part in batch.groupby("column"):
+                x, n, lo, step, width = (part[[c]].to_numpy() for c in ("x", "n", "lo", "step", "width"))
+                kernels = n * np.exp(-0.5 * ((x - lo - steps * step) / width) ** 2)
+                yield pd.DataFrame({"column": column, "point": steps, "height": kernels.sum(axis=0)})
 
-    kernels = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), kernel)
-    averaged = (
+    heights = (
         counts.join(F.broadcast(grid), "column")
-        .groupBy("column", "lo", "step")
-        .agg(Summarizer.mean(array_to_vector(kernels), F.col("n").cast("double")).alias("curve"))
+        .mapInPandas(kernel_sums, "column string, point int, height double")
+        .groupBy("column", "point")
+        .agg(F.sum("height").alias("height"))
+    )
+    area = F.col("count") * F.col("width") * math.sqrt(2 * math.pi)
+    return heights.join(F.broadcast(grid), "column").select(
+        "column",
+        "point",
+        (F.col("lo") + F.col("point") * F.col("step")).alias("x"),
+        (F.col("height") / area).alias("density"),
     )
-    return averaged.select(
-        "column", "lo", "step", F.posexplode(vector_to_array("curve")).alias("point", "density")
-    ).select("column", "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"), "density")
 
 
 def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year") -> DataFrame:
@@ -126,9 +136,9 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year"
     value = F.col("value")
     inside = value.between(F.col("q25") - reach, F.col("q75") + reach)
     quartiles = ["count", "q25", "q50", "q75"]
-    # One box per column and key.
+    # Staged, the number of boxes is known, and they are broadcast if they are few.
     return (
-        counts.join(F.broadcast(boxes), by)
+        counts.join(stage(boxes, "boxes"), by)
         .groupBy(*by, *quartiles)
         .agg(
             F.min(F.when(inside, value)).alias("low"),
@@ -145,12 +155,13 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year"
     )
 
 
-def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rank correlation of every pair of columns, with average ranks for ties.
+def spearman(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rank correlation of every pair of numeric columns, with average ranks for ties.
 
     Ranks are found on distinct values and kept as twice the distance from the mean
     rank, a whole number. Rows with a null in any of the columns are left out.
     """
+    columns = columns or numeric_columns(df)
     present = reduce(and_, [F.col(name).isNotNull() for name in columns])
     rows = df.filter(present).select(*[F.col(name).cast("double").alias(name) for name in columns])
     ranked = running_total(value_counts(rows, columns), ["column"], ["value"], "n")

@@ -54,8 +54,8 @@ def running_total(
     sliced = stage(
         df.repartitionByRange(*by, *order).withColumn("slice", F.spark_partition_id()), "sliced"
     )
-    # A slice is a contiguous range, so there are fewer (by, slice) pairs than
-    # slices plus groups: a frame of bounded size.
+    # A slice is a contiguous range, so there are fewer (by, slice) pairs than slices
+    # plus groups. Staged, their size is known, and they are broadcast if it is small.
     sums = sliced.groupBy(*by, "slice").agg(F.sum(amount).alias("slice_sum"))
     groups = Window.partitionBy(*by)
     offsets = sums.select(
@@ -69,7 +69,7 @@ def running_total(
     within = Window.partitionBy(*by, "slice").orderBy(*order).rowsBetween(*start_to_here)
     return (
         sliced.withColumn("within", F.sum(amount).over(within))
-        .join(F.broadcast(offsets), [*by, "slice"])
+        .join(stage(offsets, "offsets"), [*by, "slice"])
         .withColumn("upto", F.col("before") + F.col("within"))
         .drop("slice", "before", "within")
     )
@@ -129,19 +129,20 @@ def quantile_picks(quantiles: dict[str, tuple[int, int]]) -> dict[str, Column]:
     return picks
 
 
-def describe_counts(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per ``by``.
+def describe_counts(counts: DataFrame) -> DataFrame:
+    """Count, mean, sample deviation, extremes and exact quartiles of each column.
 
-    ``counts`` has a row for each distinct (by, value) with its frequency ``n``.
+    ``counts`` is a result of ``value_counts`` without keys.
     """
     counts = stage(counts, "counts")
-    # One mean per group.
-    means = counts.groupBy(*by).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    mean = (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
+    # One mean per column of the described frame, which bounds the broadcast.
+    means = F.broadcast(counts.groupBy("column").agg(mean))
     away = F.col("value") - F.col("mean")
     return (
-        running_total(counts, by, ["value"], "n", rows=counts.count())
-        .join(F.broadcast(means), list(by))
-        .groupBy(*by)
+        running_total(counts, ["column"], ["value"], "n", rows=counts.count())
+        .join(means, "column")
+        .groupBy("column")
         .agg(
             F.max("total").alias("count"),
             F.max("mean").alias("mean"),

@@ -87,7 +87,7 @@ def dataset_overview(df: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of numeric columns."""
-    return describe_counts(value_counts(df, columns or numeric_columns(df)), ["column"])
+    return describe_counts(value_counts(df, columns or numeric_columns(df)))
 
 
 def date_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -97,7 +97,7 @@ def date_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     seconds = df.select(
         *[(F.col(name) - epoch).cast("interval second").cast("decimal(20,6)").alias(name) for name in columns]
     )
-    summary = describe_counts(value_counts(seconds, columns), ["column"])
+    summary = describe_counts(value_counts(seconds, columns))
 
     def moment(name: str):
         return epoch + F.make_dt_interval(secs=F.col(name).cast("decimal(18,6)"))

@@ -323,6 +323,10 @@ SCORES = "SELECT customer_id, recency_score, frequency_score, monetary_score FRO
 
 ORACLE_SQL: dict[str, str] = {
     "landed_raw": select(RAW, f"SELECT {RAW_LIST} FROM raw"),
+    "raw_csv": select(
+        RAW, f"SELECT * REPLACE (CAST(customer_id AS DOUBLE) AS customer_id) FROM (SELECT {RAW_LIST} FROM raw)"
+    ),
+    "feature_csv": select(FEATURES, "SELECT * FROM features"),
     "csv_round_trip": select(CLEAN, f"SELECT {TX_LIST} FROM tx"),
     "table_load": select(CLEAN, f"SELECT {TX_LIST} FROM tx"),
     "feature_table": select(FEATURES, "SELECT * FROM features"),

@@ -44,7 +44,7 @@ def read_processed_transactions(spark: SparkSession, path: str, **options: bool)
 
 
 def write_csv(df: DataFrame, path: str, first: str | None = None) -> None:
-    """Write with a header and no row index; parent folders are made as needed.
+    """Write with a header, texts unchanged and no row index; parent folders are made as needed.
 
     ``first`` names the key column to put in front.
     """
@@ -54,6 +54,8 @@ def write_csv(df: DataFrame, path: str, first: str | None = None) -> None:
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )

@@ -31,7 +31,9 @@ def _local_folder() -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tillroll/{name}-{uuid.uuid4().hex}"
+    """Unused path in a folder of this application, which may be deleted when it has ended."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/tillroll/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
