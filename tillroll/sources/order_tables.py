@@ -50,11 +50,17 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "orders").selectExpr(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400) AS invoice_date",
-        "CAST(if(o_orderkey % 5 = 0, NULL, o_custkey) AS INT) AS customer_id",
+    """Orders with the country of their customer, which is looked up once per order."""
+    return (
+        load(spark, folder, "orders")
+        .join(load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(load(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .selectExpr(
+            "o_orderkey",
+            "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400) AS invoice_date",
+            "CAST(if(o_orderkey % 5 = 0, NULL, o_custkey) AS INT) AS customer_id",
+            "n_name AS country",
+        )
     )
 
 
@@ -74,7 +80,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw transactions: lines joined to their product, order, customer and country.
+    """Raw transactions: lines joined to their product and their order.
 
     Columns are made before the joins, on the table they depend on, so that filters on
     them reach that table. No join is forced: sizes decide.
@@ -83,8 +89,6 @@ def invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
         order_lines(spark, folder)
         .join(products(spark, folder), F.col("l_partkey") == F.col("p_partkey"))
         .join(orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(load(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             "invoice",
             "stock_code",
@@ -93,6 +97,6 @@ def invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
             "invoice_date",
             "price",
             "customer_id",
-            F.col("n_name").alias("country"),
+            "country",
         )
     )
