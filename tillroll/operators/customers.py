@@ -91,4 +91,5 @@ def tenure_days(transactions: DataFrame) -> DataFrame:
 
 
 def customer_revenue(transactions: DataFrame) -> DataFrame:
-    return transactions.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
+    known = transactions.filter(F.col("customer_id").isNotNull())
+    return known.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))

@@ -144,7 +144,7 @@ def describe(column: str, source: str, rounding: int = 6) -> str:
     return f"""SELECT '{column}' AS "column", count({column}) AS count,
   round(CAST(sum({column}) AS DOUBLE) / count({column}), {rounding}) AS mean,
   round(stddev_samp({value}), {rounding}) AS std,
-  min({value}) AS min, {quartiles}, max({value}) AS max FROM {source}"""
+  round(min({value}), {rounding}) AS min, {quartiles}, round(max({value}), {rounding}) AS max FROM {source}"""
 
 
 def moment(seconds: str) -> str:
@@ -165,12 +165,12 @@ FROM tx JOIN (SELECT year, quantile_cont({value}, 0.25) AS q25, quantile_cont({v
 GROUP BY tx.year"""
 
 
-def top_values(column: str) -> str:
+def top_values(column: str, source: str) -> str:
     return f"""SELECT '{column}' AS "column", distinct_values, position, value, share FROM (
   SELECT {column} AS value, count(*) OVER () AS distinct_values,
          CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) AS INTEGER) AS position,
          CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
-  FROM raw WHERE {column} IS NOT NULL GROUP BY {column}) WHERE position <= 5"""
+  FROM {source} WHERE {column} IS NOT NULL GROUP BY {column}) WHERE position <= 5"""
 
 
 def head_and_tail(source: str, by: str, columns: str, every: list[str]) -> str:
@@ -258,18 +258,36 @@ def funnel() -> str:
     )
 
 
-def overview() -> str:
-    types = ["string", "string", "string", "int", "timestamp_ntz", "decimal(10,2)", "int", "string"]
+def overview(columns: dict[str, str], source: str) -> str:
+    """Rows of the overview for a CTE whose columns and types are given."""
     return union(
         [
             f"""SELECT CAST({i} AS INTEGER) AS position, '{name}' AS "column", '{kind}' AS type,
-  count({name}) AS non_null, count(*) AS rows, CAST({len(types)} AS INTEGER) AS columns,
-  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS duplicate_rows FROM raw"""
-            for i, (name, kind) in enumerate(zip(RAW_COLUMNS, types))
+  count({name}) AS non_null, count(*) AS rows, CAST({len(columns)} AS INTEGER) AS columns,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source})) AS duplicate_rows FROM {source}"""
+            for i, (name, kind) in enumerate(columns.items())
         ]
     )
 
 
+RAW_TYPES = dict(
+    zip(RAW_COLUMNS, ["string", "string", "string", "int", "timestamp_ntz", "decimal(10,2)", "int", "string"])
+)
+FEATURE_TYPES = {
+    "customer_id": "int",
+    "recency": "int",
+    "frequency": "bigint",
+    "monetary": "double",
+    "recency_score": "int",
+    "frequency_score": "int",
+    "monetary_score": "int",
+    "r_f_score": "string",
+    "segment": "string",
+    "return_ratio": "double",
+    "avg_order_value": "double",
+}
+
+
 def reconciled() -> str:
     fractional = ["monetary", "return_ratio", "avg_order_value"]
     columns = [
@@ -393,8 +411,8 @@ WHERE copies > 1""",
         + ", count(*) AS rows FROM raw GROUP BY "
         + ", ".join(f"raw.{c} IS NULL" for c in RAW_COLUMNS),
     ),
-    "dataset_overview": select(RAW, overview()),
-    "top_values": select(RAW, union([top_values(c) for c in ("invoice", "stock_code", "description", "country")])),
+    "dataset_overview": select(RAW, overview(RAW_TYPES, "raw")),
+    "top_values": select(RAW, union([top_values(c, "raw") for c in ("invoice", "stock_code", "description", "country")])),
     "numeric_summary": select(RAW, union([describe(c, "raw") for c in ("quantity", "price", "customer_id")])),
     "date_summary": select(
         RAW,
@@ -584,6 +602,12 @@ FROM invoices GROUP BY customer_id""",
   round(avg(return_ratio), 6) AS mean_return_ratio, round(avg(avg_order_value), 6) AS mean_avg_order_value
 FROM features GROUP BY segment""",
     ),
+    "feature_overview": select(FEATURES, overview(FEATURE_TYPES, "features")),
+    "feature_summary": select(
+        FEATURES,
+        union([describe(c, "features") for c, kind in FEATURE_TYPES.items() if kind != "string"]),
+    ),
+    "feature_top_values": select(FEATURES, union([top_values(c, "features") for c in ("r_f_score", "segment")])),
     "reconcile_features": select(
         FEATURES
         + f""",

@@ -253,6 +253,11 @@ QUERIES: dict[str, Query] = {
     "segment_profile": lambda spark, folder: rounded(
         scoring.segment_profile(feature_plan.customer_features_from_raw(invoice_lines(spark, folder)))
     ),
+    "feature_overview": on_features(lambda features: profiling.dataset_overview(plain(features))),
+    "feature_summary": lambda spark, folder: rounded(
+        profiling.numeric_summary(feature_plan.customer_features_from_raw(invoice_lines(spark, folder)))
+    ),
+    "feature_top_values": on_features(profiling.top_values),
     "reconcile_features": on_core(reconcile_rules),
     "kmeans_clusters": on_features(kmeans),
 }
