@@ -117,9 +117,7 @@ def test_running_total_with_weights_and_groups(spark, sliced):
 
 
 def test_segments_cover_the_grid_once(spark):
-    grid = spark.range(1, 6).select(F.col("id").cast("int").alias("r")).crossJoin(
-        spark.range(1, 6).select(F.col("id").cast("int").alias("f"))
-    )
+    grid = spark.createDataFrame([(r, f) for r in range(1, 6) for f in range(1, 6)], "r int, f int")
     found = {(row.r, row.f): row.s for row in grid.select("r", "f", segment("r", "f").alias("s")).collect()}
     for cell in found:
         names = [name for r, f, name in SEGMENTS if r[0] <= cell[0] <= r[1] and f[0] <= cell[1] <= f[1]]

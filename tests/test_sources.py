@@ -87,7 +87,7 @@ def processed(raw_frame):
 
 
 def test_processed_file_round_trip(spark, processed, tmp_path):
-    path = str(tmp_path / "data" / "02_processed")
+    path = str(tmp_path / "data" / "processed")
     files.write_csv(processed, path)
     files.write_csv(processed, path)
     back = files.read_processed_transactions(spark, path)
@@ -99,13 +99,13 @@ def test_processed_file_round_trip(spark, processed, tmp_path):
 
 def test_feature_file_has_the_key_first(spark, tmp_path):
     df = spark.createDataFrame([(1.5, "a", 7)], ["return_ratio", "segment", "customer_id"])
-    path = str(tmp_path / "03_featured")
+    path = str(tmp_path / "featured")
     files.write_csv(df, path, first="customer_id")
     assert spark.read.option("header", True).csv(path).columns == ["customer_id", "return_ratio", "segment"]
 
 
 def test_landing_is_skipped_unless_forced(spark, tmp_path):
-    path = str(tmp_path / "01_raw")
+    path = str(tmp_path / "raw")
     files.land(spark.range(3), path)
     files.land(spark.range(5), path)
     assert spark.read.parquet(path).count() == 3
@@ -130,15 +130,15 @@ def test_unsafe_names_raise(spark, name):
 
 
 def test_load_appends_and_rounds(spark, processed, database, tmp_path):
-    name = tables.create_transactions_table(spark, database, "base_retail")
-    assert identifier("base_retail") == "base_retail"
-    tables.create_transactions_table(spark, database, "base_retail")
+    name = tables.create_transactions_table(spark, database, "transactions")
+    assert identifier("transactions") == "transactions"
+    tables.create_transactions_table(spark, database, "transactions")
     path = tmp_path / "base.csv"
     header = ",".join(f"any{i}" for i in range(11)) + "\n"
     path.write_text(header + "1,2,x,3,2010-12-01 08:26:00,0.005,7,UK,0.015,2010,12\n")
-    tables.load_transactions(spark, str(path), database, "base_retail")
-    tables.load_transactions(spark, str(path), database, "base_retail")
-    table = tables.read_table(spark, database, "base_retail")
+    tables.load_transactions(spark, str(path), database, "transactions")
+    tables.load_transactions(spark, str(path), database, "transactions")
+    table = tables.read_table(spark, database, "transactions")
     assert tables.table_shape(table) == (2, 11)
     assert {(row.price, row.revenue) for row in table.collect()} == {(Decimal("0.01"), Decimal("0.02"))}
     assert check_contract(table, PROCESSED_TRANSACTIONS).first().passed
@@ -155,12 +155,12 @@ def test_load_appends_and_rounds(spark, processed, database, tmp_path):
     ids=["no invoice", "long country", "large quantity"],
 )
 def test_a_bad_row_adds_nothing(spark, database, tmp_path, row):
-    tables.create_transactions_table(spark, database, "base_retail")
+    tables.create_transactions_table(spark, database, "transactions")
     path = tmp_path / "base.csv"
     path.write_text(",".join(TRANSACTIONS.fieldNames()) + "\n1,2,x,3,2010-12-01 08:26:00,1.00,7,UK,3.00,2010,12\n" + row)
     with pytest.raises(Exception):
-        tables.load_transactions(spark, str(path), database, "base_retail")
-    assert tables.read_table(spark, database, "base_retail").count() == 0
+        tables.load_transactions(spark, str(path), database, "transactions")
+    assert tables.read_table(spark, database, "transactions").count() == 0
 
 
 def test_recreating_drops_tables(spark, database):

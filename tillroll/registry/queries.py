@@ -127,9 +127,9 @@ def table_load(transactions: DataFrame) -> DataFrame:
     files.write_csv(transactions, path)
     database = f"tillroll_{uuid.uuid4().hex}"
     tables.create_database(spark, database, new_path(spark, "database"))
-    tables.create_transactions_table(spark, database, "base_retail")
-    tables.load_transactions(spark, path, database, "base_retail")
-    return tables.read_table(spark, database, "base_retail")
+    tables.create_transactions_table(spark, database, "transactions")
+    tables.load_transactions(spark, path, database, "transactions")
+    return tables.read_table(spark, database, "transactions")
 
 
 def feature_table(features: DataFrame) -> DataFrame:
