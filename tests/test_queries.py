@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, difference
+from tillroll.registry.oracle import ORACLE_SQL
+from tillroll.registry.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,7 +15,7 @@ def database():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
     df = queries()[name](spark, SMALL)
     sql = oracle_sql().get(name)
@@ -28,5 +30,5 @@ def test_entry(spark):
 
 
 def test_only_iterative_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == {"kmeans_clusters"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"kmeans_clusters"}
     assert set(oracle_sql()) <= set(queries())

@@ -1,28 +1,31 @@
+from pathlib import Path
 from types import SimpleNamespace
 
-import pytest
-
 from tillroll import staging
 
 
-def session(folder, master):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
-    )
+def session(**settings):
+    names = {key.replace("__", "."): value for key, value in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: names.get(key, *default)))
 
 
 def test_the_shared_folder_is_that_of_the_session():
-    assert staging.shared_folder(session("hdfs://x/shared/", "yarn")) == "hdfs://x/shared"
+    found = staging.shared_folder(session(spark__checkpoint__dir="hdfs://x/shared/", spark__sql__warehouse__dir="y"))
+    assert found == "hdfs://x/shared"
 
 
-def test_a_cluster_without_shared_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.shared_folder(session(None, "yarn"))
+def test_without_it_the_warehouse_is_used():
+    assert staging.shared_folder(session(spark__sql__warehouse__dir="hdfs://x/warehouse")) == "hdfs://x/warehouse/staged"
 
 
-def test_local_mode_makes_its_own_folder():
-    folder = staging.shared_folder(session(None, "local[4]"))
-    assert folder == staging.shared_folder(session(None, "local[4]"))
+def test_release_leaves_nothing(spark):
+    staging.stage(spark.range(5))
+    database = staging.scratch_database(spark)
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.range(3).write.saveAsTable(f"{database}.numbers")
+    staging.release(spark)
+    assert not Path(staging.application_folder(spark)).exists()
+    assert database not in {found.name for found in spark.catalog.listDatabases()}
 
 
 def test_stage_cuts_lineage(spark):

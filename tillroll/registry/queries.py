@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from tillroll.plans import features as feature_plan
 from tillroll.sources import files, tables
 from tillroll.sources.order_tables import invoice_lines
 from tillroll.sources.schemas import PROCESSED_TRANSACTIONS, RAW_TRANSACTIONS, check_contract
-from tillroll.staging import new_path, stage
+from tillroll.staging import new_path, scratch_database, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,7 +124,7 @@ def table_load(transactions: DataFrame) -> DataFrame:
     spark = transactions.sparkSession
     path = new_path(spark, "processed-csv")
     files.write_csv(transactions, path)
-    database = f"tillroll_{uuid.uuid4().hex}"
+    database = scratch_database(spark)
     tables.create_database(spark, database, new_path(spark, "database"))
     tables.create_transactions_table(spark, database, "transactions")
     tables.load_transactions(spark, path, database, "transactions")
@@ -135,7 +134,7 @@ def table_load(transactions: DataFrame) -> DataFrame:
 def feature_table(features: DataFrame) -> DataFrame:
     """The features as a table created from a query, and read back."""
     spark = features.sparkSession
-    database = f"tillroll_{uuid.uuid4().hex}"
+    database = scratch_database(spark)
     tables.create_database(spark, database, new_path(spark, "database"))
     tables.replace_table(features, database, "featured")
     return tables.read_table(spark, database, "featured")

@@ -8,32 +8,28 @@ file sizes to choose join strategies by.
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    """Folder named by ``spark.checkpoint.dir``, or else one beside the session's own tables.
+
+    Managed tables are written below the warehouse folder, so every executor reaches it.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folder()
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged"
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tillroll-")
+def application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tillroll/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """Unused path in a folder of this application, which may be deleted when it has ended."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tillroll/{application}/{name}-{uuid.uuid4().hex}"
+    """Unused path in a folder of this application, which ``release`` deletes."""
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -54,3 +50,25 @@ def stage_each(df: DataFrame, column: str, values: list[str], name: str = "stage
     df.write.partitionBy(column).parquet(path)
     rest = df.drop(column)
     return {value: spark.read.schema(rest.schema).parquet(f"{path}/{column}={value}") for value in values}
+
+
+def scratch_prefix(spark: SparkSession) -> str:
+    return "tillroll_scratch_" + re.sub(r"\W", "_", spark.sparkContext.applicationId) + "_"
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """Unused name of a database that lasts as long as the application's staged tables."""
+    return scratch_prefix(spark) + uuid.uuid4().hex[:12]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has staged, and its scratch databases.
+
+    Frames that still read staged tables fail afterwards, so call it when their results
+    have been written.
+    """
+    for database in spark.catalog.listDatabases():
+        if database.name.startswith(scratch_prefix(spark)):
+            spark.sql(f"DROP DATABASE `{database.name}` CASCADE")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
