@@ -104,14 +104,18 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def words_of(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray = NOT_BLANK) -> Words:
-    """Hashed words of a piece; equal up to the case of A-Z means equal hashes."""
-    start, end = runs(is_word[data])
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of every byte range; equal up to the case of A-Z means equal hashes."""
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(byte_values()[data] * powers(ROOT, n), out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * powers(ROOT_INVERSE, n)[start])
-    return Words(start, end, hashes, np.searchsorted(start, bounds))
+    return mix((sums[end] - sums[start]) * powers(ROOT_INVERSE, n)[start])
+
+
+def words_of(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray = NOT_BLANK) -> Words:
+    """Words of a piece: runs of the bytes that ``is_word`` flags."""
+    start, end = runs(is_word[data])
+    return Words(start, end, range_hashes(data, start, end), np.searchsorted(start, bounds))
 
 
 STEP = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
