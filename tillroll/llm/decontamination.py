@@ -1,7 +1,7 @@
 """Benchmark decontamination by question templates.
 
 Benchmark items and documents are read as canonical tokens: numbers, units after a number
-and names become typed placeholders, everything else is a literal word, A-Z lower-cased.
+and names become typed placeholders, everything else is a literal word, lower-cased.
 A word is a run of letters and digits (dots and commas between digits belong to a
 number). A name is a capitalised word inside a sentence; neighbouring names are one
 placeholder. Every window of ``WINDOW`` tokens with at least ``LITERALS`` literals is a
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,6 +85,12 @@ class Tokens:
     bounds: np.ndarray
 
 
+def lowered(texts: pa.Array) -> pa.Array:
+    """Lower-cased texts; one whose size in bytes would change stays as it is."""
+    low = pc.utf8_lower(texts)
+    return pc.if_else(pc.equal(pc.binary_length(low), pc.binary_length(texts)), low, texts)
+
+
 def canonical(texts: pa.Array) -> Tokens:
     data, bounds = joined(texts)
     word_bytes = ALNUM[data]
@@ -91,7 +98,7 @@ def canonical(texts: pa.Array) -> Tokens:
     inner[1:-1] &= DIGIT[data[:-2]] & DIGIT[data[2:]]
     inner[[0, -1]] = False
     start, end = runs(word_bytes | inner)
-    words = range_hashes(data, start, end)
+    words = range_hashes(joined(lowered(texts))[0], start, end)
     text = np.searchsorted(bounds, start, "right") - 1
     if not len(start):
         none = np.empty(0, np.uint64)
