@@ -3,12 +3,12 @@
 A conversation is a sequence of rows in the order of their turn; the lines of each row's
 text are the observations. A state is a role and whether the line starts a turn. A line is
 observed as four features: the role that a speaker marker names ("User:", "### Assistant",
-"<|im_start|>system", "Q:" ...) or none, whether the row starts here, its length class, and
-its form (question, list, code, plain). Features are independent given the state.
+"<|im_start|>system", "Q:" ...) or none, whether the row starts here, a length class (of
+the whole row for its first line), and its form (question, list, code, plain).
 
 Start, transition and emission counts come from conversations whose rows have a role, in a
 bounded sample (``SAMPLE`` conversations, chosen by a hash); smoothing covers the rest.
-Markers outweigh everything else by a fixed pseudo-count, as they name the role.
+Markers have fixed probabilities that outweigh everything else, as they name the role.
 
 Viterbi runs over whole conversations of any length without one task per conversation:
 rows are cut into blocks of ``BLOCK`` rows; each block is reduced to the best score from
@@ -56,12 +56,15 @@ END_MARK = re.compile(r"\s*(?:<\|im_end\|>|<\|eot_id\|>|</s>)\s*$")
 STATES = 2 * len(ROLES)  # role * 2 + whether the line starts a turn
 FORMS = 4
 LENGTHS = 4
+LINE_LENGTHS = (20, 120, 600)
+ROW_LENGTHS = (50, 400, 2000)
 SYMBOLS = (len(ROLES) + 1) * 2 * LENGTHS * FORMS
 SAMPLE = 20_000
 BLOCK = 512
 SMOOTHING = 0.5
-#: Marked lines that a marker counts for, whatever the sample says.
-MARKED = 1000.0
+#: Share of turns that start with a marker, and the chance of one that names another role.
+MARKED = 0.05
+UNFIT = 1e-9
 
 
 def marked(line: str) -> tuple[int | None, str]:
@@ -87,7 +90,9 @@ def observed(text: str | None) -> list[tuple[int, str]]:
             form = 3
         else:
             form = 0
-        length = sum(len(bare) > limit for limit in (20, 120, 600))
+        # The first line of a row stands for the whole row.
+        size, limits = (len(text or ""), ROW_LENGTHS) if i == 0 else (len(bare), LINE_LENGTHS)
+        length = sum(size > limit for limit in limits)
         symbol = len(ROLES) if role is None else role
         out.append((((symbol * 2 + (i == 0)) * LENGTHS + length) * FORMS + form, line))
     return out
@@ -115,18 +120,18 @@ def roles_of(rows: DataFrame) -> DataFrame:
 def model_of(counts: np.ndarray) -> ChatModel:
     start = counts[:STATES]
     step = counts[STATES : STATES + STATES * STATES].reshape(STATES, STATES)
-    emit = counts[STATES + STATES * STATES :].reshape(STATES, SYMBOLS).copy()
+    emit = counts[STATES + STATES * STATES :].reshape(STATES, SYMBOLS)
     begins = np.arange(STATES) % 2 == 1
     # A conversation starts with a turn, and a turn goes on only in its own role.
     start_mass = (start + SMOOTHING) * begins
     allowed = begins[None, :] | (np.arange(STATES)[:, None] // 2 == np.arange(STATES)[None, :] // 2)
     step_mass = (step + SMOOTHING) * allowed
-    marker = marker_of(np.arange(SYMBOLS))
-    prior = np.full((STATES, SYMBOLS), SMOOTHING)
-    named = marker < len(ROLES)
-    fits = (marker[None, :] == np.arange(STATES)[:, None] // 2) & begins[:, None]
-    prior[:, named] = np.where(fits, MARKED, 1e-6)[:, named]
-    emit = np.where(named[None, :], prior, emit + prior)
+    named = marker_of(np.arange(SYMBOLS)) < len(ROLES)
+    fits = (marker_of(np.arange(SYMBOLS))[None, :] == np.arange(STATES)[:, None] // 2) & begins[:, None]
+    plain = (emit + SMOOTHING) * ~named[None, :]
+    plain /= plain.sum(axis=1, keepdims=True)
+    share = np.where(fits.any(axis=1), MARKED, 0.0)[:, None]
+    emit = np.where(named[None, :], np.where(fits, share / max(fits[1].sum(), 1), UNFIT), (1 - share) * plain)
     with np.errstate(divide="ignore"):
         return ChatModel(
             np.log(start_mass / start_mass.sum()),

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.text import joined, mix, pieces, range_hashes, run_hashes, runs
+from tillroll.llm.passing import docs_without
 from tillroll.llm.vectors import bit_set
 from tillroll.staging import stage
 
@@ -205,3 +206,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id"
         (F.col("matched") / F.col("usable")).alias("share"),
         "reparameterised",
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``documents`` that no benchmark item contaminates.
+
+    Only ids that may be contaminated meet the list of those that are; all other rows pass
+    by without a shuffle.
+    """
+    leaked = stage(contamination(docs, benchmark).select("doc_id").distinct(), "leaked")
+    return docs_without(docs, leaked, "doc_id")

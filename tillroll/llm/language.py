@@ -293,3 +293,20 @@ def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, n_spans) of every row of ``docs``."""
     labelled = predict(docs, learn_from_documents(docs), ["doc_id"])
     return labelled.select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """``documents`` in a known language: null texts and texts without such a letter go."""
+    model = learn_from_documents(docs)
+    shared_model = docs.sparkSession.sparkContext.broadcast(model)  # one fixed-size table per language
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = [
+                found[0] != UNKNOWN
+                for piece in pieces(batch.select(["text"]))
+                for found in labelled_texts(shared_model.value, lowered(piece))
+            ]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -226,7 +226,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     Rows of one id and source are one document here and have the copies of the first.
     """
-    chosen = mixture(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("id"), F.col("source").alias("of"))
+    chosen = mixture(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"))
     chosen = chosen.agg(F.max("copies").alias("copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("of"))
-    return docs.drop("copies").join(chosen, same).drop("id", "of")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of"))
+    return docs.drop("copies").join(chosen, same).drop("_id", "_of")

@@ -32,12 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.text import mix, shingle_sets, word_pieces
-from tillroll.llm.vectors import add_up, bit_set, packed
+from tillroll.llm.passing import docs_without, likely_and_others
+from tillroll.llm.text import shingle_sets, word_pieces
+from tillroll.llm.vectors import add_up, packed
 from tillroll.staging import stage
 
 #: Cells of the frequency sketch.
@@ -193,18 +194,11 @@ def pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def sets_of(wanted):
-    """(id, set) of the rows whose id may be in the bit set ``wanted``."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            batch = batch.filter(pa.array(wanted.has(mix(ids.view(np.uint64)))))
-            for piece, words in word_pieces([batch]):
-                sets = [found.tobytes() for found in shingle_sets(words)]
-                yield pa.record_batch([piece.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
-
-    return pick
+def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, set) of every row."""
+    for piece, words in word_pieces(batches):
+        found = [shingles.tobytes() for shingles in shingle_sets(words)]
+        yield pa.record_batch([piece.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
 
 
 SLICES = np.arange(17, dtype=np.uint64) << np.uint64(60)
@@ -244,21 +238,15 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose documents link. Sets are computed for documents in a pair only."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    mixed = needed.select("id").mapInArrow(mix_ids, "h long")
-    sets = rows.mapInArrow(sets_of(bit_set(mixed, "h")), "id long, shingles binary")
+    likely, _ = likely_and_others(rows, needed, "id")
+    found = likely.mapInArrow(sets, "id long, shingles binary").withColumnRenamed("id", "b")
     hubs = pairs.select("a").distinct().select("a", F.col("a").alias("b"), F.lit(True).alias("own"))
     asked = pairs.select("a", "b", F.lit(False).alias("own")).union(hubs)
-    with_sets = asked.join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "own", "shingles")
+    with_sets = asked.join(found, "b").select("a", "b", "own", "shingles")
     met = with_sets.repartition("a").sortWithinPartitions("a", F.col("own").desc())
     return met.mapInArrow(verify, "a long, b long")
 
 
-def mix_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        yield pa.record_batch([pa.array(mix(ids.view(np.uint64)).view(np.int64))], ["h"])
-
-
 def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) per row of ``docs``; see the module for the rules."""
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
@@ -308,3 +296,15 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
         F.col("n").alias("n_shingles"),
         whole(F.coalesce("component", "id")).alias("component_id"),
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``documents`` with one row per group of links: that of the group's smallest id.
+
+    Of rows with the same id, which are one document, one with the smallest text hash
+    stays; rows without an id are one document too.
+    """
+    dropped = similarity_components(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = docs_without(docs, stage(dropped.select("doc_id").distinct(), "dropped"), "doc_id")
+    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return kept.withColumn("_copy", F.row_number().over(same_id)).filter("_copy = 1").drop("_copy")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.text import NOT_BLANK, ROOT, ROOT_INVERSE, Words, joined, mix, pieces, powers, words_of
+from tillroll.llm.passing import likely_and_others, type_list
 from tillroll.llm.vectors import bit_set
 from tillroll.staging import stage
 
@@ -184,32 +185,10 @@ def cut_texts(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator
         )
 
 
-def may_be_in(wanted, inside: bool):
-    """Rows whose id may be in the bit set of ids, or those that surely are not."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            yield batch.filter(pa.array(wanted.has(mix(ids.view(np.uint64))) == inside))
-
-    return pick
-
-
-def mixed_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        yield pa.record_batch([pa.array(mix(ids.view(np.uint64)).view(np.int64))], ["h"])
-
-
-def type_list(df: DataFrame, columns: list[str]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema.fields)
-
-
 def removed_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per removed span: key, start, stop (code points), first_id and the removed text."""
     removed = stage(repeated_sentences(docs, key, text), "removed")
-    wanted = bit_set(removed.select("id").mapInArrow(mixed_ids, "h long"), "h")
-    likely = with_ids(docs, key, text).mapInArrow(may_be_in(wanted, True), "id long, text string")
+    likely, _ = likely_and_others(with_ids(docs, key, text), removed, "id")
     cut = likely.join(removed, "id").mapInArrow(lambda batches: cut_texts(batches, ["id"]), f"id long, text string, spans {SPAN_TYPE}")
     whole = lambda column: F.nullif(F.col(column), F.lit(NO_ID))
     spans = cut.select("id", F.explode("spans").alias("span")).select("id", "span.*")
@@ -222,16 +201,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Only documents that may lose something meet the list of removals; all others pass by.
     """
     removed = stage(repeated_sentences(docs), "removed")
-    wanted = bit_set(removed.select("id").mapInArrow(mixed_ids, "h long"), "h")
-    columns = docs.columns
-    rest = [name for name in columns if name not in ("text", "n_chars")]
-    rows = docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    rows_type = type_list(rows, rows.columns)
-    untouched = rows.mapInArrow(may_be_in(wanted, False), rows_type).select(*columns)
-    likely = rows.mapInArrow(may_be_in(wanted, True), rows_type)
-    touched = likely.join(removed, "id", "left").withColumn("was_null", F.col("text").isNull()).select(*rest, "text", "was_null", "removed")
-    cut_type = f"{type_list(touched, [*rest, 'was_null'])}, text string, spans {SPAN_TYPE}"
-    cut = touched.mapInArrow(lambda batches: cut_texts(batches, [*rest, "was_null"]), cut_type)
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", row)
+    likely, others = likely_and_others(rows, removed, "id")
+    touched = likely.join(removed, "id", "left").select("text", "row", "removed")
+    cut_type = f"row {touched.schema['row'].dataType.simpleString()}, text string, spans {SPAN_TYPE}"
+    cut = touched.mapInArrow(lambda batches: cut_texts(batches, ["row"]), cut_type)
     cut = cut.filter((F.size("spans") == 0) | (F.length(F.trim("text")) > 0))
-    cut = cut.withColumn("text", F.when(~F.col("was_null"), F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
-    return untouched.unionByName(cut.select(*columns))
+    left = {"text": F.when(F.col("row.text").isNotNull(), F.col("text"))}
+    if "n_chars" in docs.columns:
+        left["n_chars"] = F.length(left["text"]).cast(docs.schema["n_chars"].dataType)
+    whole = [left.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns]
+    return others.select("row.*").unionByName(cut.select(*whole))
