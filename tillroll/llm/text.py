@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 21
+PIECE = 1 << 19
 #: A document's shingle has five words (the library's default for near duplicates).
 SHINGLE = 5
 
