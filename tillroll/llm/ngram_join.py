@@ -42,8 +42,8 @@ from tillroll.llm.vectors import add_up, packed
 from tillroll.staging import stage
 
 #: Cells of the frequency sketch.
-CELLS = 1 << 17
-CELL_SHIFT = np.uint64(64 - 17)
+CELLS = 1 << 22
+CELL_SHIFT = np.uint64(64 - 22)
 #: Stands for a missing id inside the join.
 NO_ID = -(1 << 63)
 
@@ -59,7 +59,7 @@ def prefix_length(n: int) -> int:
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, n, two halves of the set's digest) per row, and at the end this task's sketch."""
-    sketch = np.zeros(CELLS, np.int64)
+    sketch = np.zeros(CELLS, np.int32)
     for piece, words in word_pieces(batches):
         sizes, digests = [], []
         for found in shingle_sets(words):
@@ -177,15 +177,17 @@ def candidate_pairs(every: bool):
                 keep = passes(n[first], place[first], n, place) & (component[first] != component)
                 yield pairs_batch(ids[first][keep], ids[keep])
                 continue
-            for start, stop in zip(bounds[:-1], bounds[1:]):
-                if (component[start:stop] == component[start]).all():
-                    continue
-                for i in range(start, stop - 1):
-                    rest = slice(i + 1, stop)
-                    keep = passes(n[i], place[i], n[rest], place[rest]) & (component[i] != component[rest])
-                    if keep.any():
-                        others = ids[rest][keep]
-                        yield pairs_batch(np.full(len(others), ids[i]), others)
+            # Rows of shingles with several components, and where each one's shingle ends.
+            mixed = np.minimum.reduceat(component, bounds[:-1]) != np.maximum.reduceat(component, bounds[:-1])
+            end = np.repeat(bounds[1:], np.diff(bounds))
+            row = np.flatnonzero(np.repeat(mixed, np.diff(bounds)))
+            apart = 1
+            while len(row := row[row + apart < end[row]]):
+                other = row + apart
+                keep = passes(n[row], place[row], n[other], place[other]) & (component[row] != component[other])
+                if keep.any():
+                    yield pairs_batch(ids[row[keep]], ids[other[keep]])
+                apart += 1
 
     return pair
 
@@ -251,7 +253,7 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """(key, n_shingles, component_id) per row of ``docs``; see the module for the rules."""
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     sizes = stage(rows.mapInArrow(measured, "id long, n long, half1 long, half2 long, sketch binary"), "sets")
-    sketch = add_up(sizes.select("sketch"), "sketch", CELLS, np.int64)
+    sketch = add_up(sizes.select("sketch"), "sketch", CELLS, np.int32)
 
     sizes = sizes.filter("sketch IS NULL").drop("sketch")
     classes = sizes.filter("n > 0").groupBy("n", "half1", "half2").agg(F.min("id").alias("class"))
