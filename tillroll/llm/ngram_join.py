@@ -17,8 +17,10 @@ differ from their texts only with a chance of about n*n / 2**64.
    different components are compared. A pair inside a component needs no second look,
    so a group of thousands of near copies costs about one comparison each, and no link
    between components is lost.
-4. Candidates are verified once per pair on whole sets. Before counting the common
-   shingles, a suffix filter bounds them by the sizes of equal slices of both sets.
+4. A suffix filter bounds what two candidates can share: their hashes are cut into about
+   two slices per shingle, and every slice with an odd size in one set and an even one in
+   the other holds a shingle that is not common. Only one bit per slice is compared.
+5. What is left is verified once per pair on whole sets.
 
 Rows with the same id count as one document with several texts: links of either text
 are its links. Rows without an id are taken as one such document. The result has one row
@@ -61,9 +63,10 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, n, two halves of the set's digest) per row, and at the end this task's sketch."""
     sketch = np.zeros(CELLS, np.int32)
     for piece, words in word_pieces(batches):
-        sizes, digests = [], []
+        sizes, digests, slices = [], [], []
         for found in shingle_sets(words):
             sizes.append(len(found))
+            slices.append(odd_slices(found))
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
             np.add.at(sketch, (found >> CELL_SHIFT).astype(np.int64), 1)
         halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
@@ -73,15 +76,48 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(sizes, pa.int64()),
                 pa.array(np.ascontiguousarray(halves[:, 0])),
                 pa.array(np.ascontiguousarray(halves[:, 1])),
+                pa.array(slices, pa.binary()),
                 pa.nulls(piece.num_rows, pa.binary()),
             ],
             MEASURED,
         )
     empty = pa.array([None], pa.int64())
-    yield pa.record_batch([empty, empty, empty, empty, pa.array([packed(sketch)], pa.binary())], MEASURED)
+    none = pa.array([None], pa.binary())
+    yield pa.record_batch([empty, empty, empty, empty, none, pa.array([packed(sketch)], pa.binary())], MEASURED)
 
 
-MEASURED = ["id", "n", "half1", "half2", "sketch"]
+MEASURED = ["id", "n", "half1", "half2", "slices", "sketch"]
+
+
+def odd_slices(found: np.ndarray) -> bytes:
+    """One bit per slice of the hashes, two or more slices per shingle: whether its size is odd."""
+    log_slices = max(6, int(2 * len(found)).bit_length())
+    sizes = np.bincount((found >> np.uint64(64 - log_slices)).astype(np.int64), minlength=1 << log_slices)
+    return np.packbits(sizes.astype(np.uint8) & 1).tobytes()
+
+
+def may_link(n_a: int, slices_a: bytes, n_b: int, slices_b: bytes) -> bool:
+    """False only if the slices show too many shingles that are not common."""
+    bits = [np.unpackbits(np.frombuffer(slices, np.uint8)) for slices in (slices_a, slices_b)]
+    size = min(map(len, bits))
+    a, b = (np.bitwise_xor.reduce(each.reshape(size, -1), axis=1) for each in bits)
+    return np.count_nonzero(a != b) <= n_a + n_b - 2 * least_overlap(n_a, n_b)
+
+
+def suffix_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose sizes and slices allow a link."""
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("n_a", "slices_a", "n_b", "slices_b")))
+        yield batch.filter(pa.array([may_link(*row) for row in rows], pa.bool_())).select(["a", "b"])
+
+
+def filtered(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs that pass the suffix filter by the (id, n, slices) of their documents."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    likely, _ = likely_and_others(sizes.filter("n > 0").select("id", "n", "slices"), ids, "id")
+    left = likely.toDF("a", "n_a", "slices_a")
+    right = likely.toDF("b", "n_b", "slices_b")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(suffix_filter, "a long, b long").distinct()
 
 
 def prefixes(sketch: np.ndarray):
@@ -203,20 +239,10 @@ def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([piece.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
 
 
-SLICES = np.arange(17, dtype=np.uint64) << np.uint64(60)
-
-
 def links(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets link: suffix filter by slices, then the count."""
-    need = least_overlap(len(a), len(b))
-    if min(len(a), len(b)) < need:
-        return False
-    slices_a = np.diff(np.append(np.searchsorted(a, SLICES[:16]), len(a)))
-    slices_b = np.diff(np.append(np.searchsorted(b, SLICES[:16]), len(b)))
-    if np.minimum(slices_a, slices_b).sum() < need:
-        return False
+    """Whether two sorted sets link."""
     both = np.sort(np.concatenate([a, b]), kind="stable")
-    return np.count_nonzero(both[1:] == both[:-1]) >= need
+    return np.count_nonzero(both[1:] == both[:-1]) >= least_overlap(len(a), len(b))
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,13 +278,13 @@ def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) per row of ``docs``; see the module for the rules."""
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
-    sizes = stage(rows.mapInArrow(measured, "id long, n long, half1 long, half2 long, sketch binary"), "sets")
+    sizes = stage(rows.mapInArrow(measured, "id long, n long, half1 long, half2 long, slices binary, sketch binary"), "sets")
     sketch = add_up(sizes.select("sketch"), "sketch", CELLS, np.int32)
 
     sizes = sizes.filter("sketch IS NULL").drop("sketch")
     classes = sizes.filter("n > 0").groupBy("n", "half1", "half2").agg(F.min("id").alias("class"))
     members = stage(
-        sizes.join(classes, ["n", "half1", "half2"], "left").select("id", "n", F.coalesce("class", "id").alias("class")),
+        sizes.drop("slices").join(classes, ["n", "half1", "half2"], "left").select("id", "n", F.coalesce("class", "id").alias("class")),
         "members",
     )
 
@@ -266,7 +292,7 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     often = stage(index.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(shared, index.schema), "index")
     own_class = members.select("id", "class", F.col("n").cast("int").alias("n")).distinct()
     index = stage(
-        often.join(own_class, ["id", "n"]).select("shingle", F.col("class").alias("id"), "n", "place").distinct(),
+        often.join(own_class, ["id", "n"]).select("shingle", F.col("class").alias("id"), "n", "place"),
         "index",
     )
 
@@ -288,7 +314,7 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         tested = pairs
-        found = found.union(stage(verified(rows, pairs), "links"))
+        found = found.union(stage(verified(rows, stage(filtered(pairs, sizes), "filtered")), "links"))
         component = components(found)
 
     result = members.join(component.withColumnRenamed("node", "id"), "id", "left")
