@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.passing import docs_without, likely_and_others
+from tillroll.llm.passing import docs_without, id_set, likely_and_others, passing
 from tillroll.llm.text import shingle_sets, word_pieces
-from tillroll.llm.vectors import add_up, packed
+from tillroll.llm.vectors import BitSet, add_up, packed
 from tillroll.staging import stage
 
 #: Cells of the frequency sketch.
@@ -232,11 +232,15 @@ def pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, set) of every row."""
-    for piece, words in word_pieces(batches):
-        found = [shingles.tobytes() for shingles in shingle_sets(words)]
-        yield pa.record_batch([piece.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
+def sets_of(wanted: BitSet):
+    """(id, set) of the rows whose id may be in the bit set; one Python worker does both."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, words in word_pieces(passing(wanted, "id", True)(batches)):
+            found = [shingles.tobytes() for shingles in shingle_sets(words)]
+            yield pa.record_batch([piece.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
+
+    return find
 
 
 def links(a: np.ndarray, b: np.ndarray) -> bool:
@@ -266,8 +270,7 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose documents link. Sets are computed for documents in a pair only."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    likely, _ = likely_and_others(rows, needed, "id")
-    found = likely.mapInArrow(sets, "id long, shingles binary").withColumnRenamed("id", "b")
+    found = rows.mapInArrow(sets_of(id_set(needed, "id")), "id long, shingles binary").withColumnRenamed("id", "b")
     hubs = pairs.select("a").distinct().select("a", F.col("a").alias("b"), F.lit(True).alias("own"))
     asked = pairs.select("a", "b", F.lit(False).alias("own")).union(hubs)
     with_sets = asked.join(found, "b").select("a", "b", "own", "shingles")

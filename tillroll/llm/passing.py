@@ -23,17 +23,14 @@ def hashed(ids: pa.Array) -> np.ndarray:
     return mix(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
 
-def hash_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.record_batch([pa.array(hashed(batch.column(0)).view(np.int64))], ["h"])
-
-
 def id_set(ids: DataFrame, key: str, log_bits: int = 23) -> BitSet:
     """Bit set of fixed size with all values of a long column."""
-    return bit_set(ids.select(F.col(key).cast("long")).mapInArrow(hash_column, "h long"), "h", log_bits)
+    return bit_set(ids, key, log_bits, mixed=False)
 
 
 def passing(wanted: BitSet, key: str, inside: bool):
+    """Keep the rows whose key may be in the set, or those whose key surely is not."""
+
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(wanted.has(hashed(batch.column(key))) == inside))

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.text import mix
+
 MEETING_TASKS = 8
 
 
@@ -68,16 +70,20 @@ class BitSet:
         return (self.words[at] & bit) != 0
 
 
-def bit_set(hashes: DataFrame, column: str, log_bits: int = 23) -> BitSet:
-    """Bit set of all values of a long column that holds mixed hashes."""
+def bit_set(hashes: DataFrame, column: str, log_bits: int = 23, mixed: bool = True) -> BitSet:
+    """Bit set of all values of a long column that holds mixed hashes, or plain ones to mix.
+
+    A missing plain value counts as 0.
+    """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = BitSet(log_bits)
         for batch in batches:
-            own.add(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            values = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            own.add(values if mixed else mix(values))
         yield pa.record_batch([pa.array([packed(own.words)], pa.binary())], ["bits"])
 
     found = BitSet(log_bits)
-    parts = hashes.select(column).filter(F.col(column).isNotNull()).mapInArrow(partial, "bits binary")
+    parts = hashes.select(F.col(column).cast("long")).mapInArrow(partial, "bits binary")
     found.words = add_up(parts, "bits", len(found.words), np.uint64, bits=True)
     return found
