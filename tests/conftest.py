@@ -8,7 +8,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tillroll.operators.ordering import SINGLE_TASK_ROWS  # noqa: E402
 from tillroll.session import local_session  # noqa: E402
 
 RAW = (
@@ -48,12 +47,8 @@ def settings(spark, **values):
 
 @pytest.fixture
 def sliced(spark):
-    """Force the distributed order with several slices, however small the data."""
-    options = {
-        SINGLE_TASK_ROWS.replace(".", "__"): "0",
-        "spark__sql__adaptive__coalescePartitions__enabled": "false",
-    }
-    with settings(spark, **options):
+    """Several slices, however small the data."""
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
         yield
 
 

@@ -6,6 +6,7 @@ from conftest import line
 from tillroll.functions.columns import strip_whitespace
 from tillroll.operators import cleaning
 from tillroll.plans.cleaning import clean_transactions, cleaning_funnel, product_lines, valid_lines
+from tillroll.sources.order_tables import invoice_lines
 from tillroll.staging import stage
 from pyspark.sql import functions as F
 
@@ -150,3 +151,11 @@ def test_listings(raw_frame):
     df = raw_frame(line(quantity=-1), line(quantity=0), line(stock_code="C2"))
     assert cleaning.list_returns(df).count() == 1
     assert cleaning.list_stock_code(df, "C2").count() == 1
+
+
+def test_the_clean_reads_one_shuffle_for_lines_and_balances(spark):
+    """Both sides of the balance rule reuse the exchange that removes copies."""
+    cleaned = clean_transactions(invoice_lines(spark, "/root/testdata/sf0.001"))
+    cleaned.collect()
+    plan = cleaned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and "staged" not in plan

@@ -23,7 +23,7 @@ def frame(sales):
     return sales.select("quantity", "year", *[F.col(c).cast("double").alias(c) for c in ("price", "revenue")]).toPandas()
 
 
-@pytest.mark.parametrize("mode", ["one task", "sliced"])
+@pytest.mark.parametrize("mode", ["one slice", "sliced"])
 def test_spearman_equals_pandas(request, sales, frame, mode):
     if mode == "sliced":
         request.getfixturevalue("sliced")
@@ -51,7 +51,7 @@ def test_spearman_of_a_constant_is_null(spark):
     assert rows["a"].a == 1.0 and rows["a"].b is None
 
 
-@pytest.mark.parametrize("mode", ["one task", "sliced"])
+@pytest.mark.parametrize("mode", ["one slice", "sliced"])
 def test_box_stats(request, sales, frame, mode):
     if mode == "sliced":
         request.getfixturevalue("sliced")

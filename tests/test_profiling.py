@@ -54,7 +54,7 @@ def test_top_values_leave_nulls_out(dirty):
     ]
 
 
-@pytest.mark.parametrize("mode", ["one task", "sliced"])
+@pytest.mark.parametrize("mode", ["one slice", "sliced"])
 def test_summary_equals_pandas(spark, request, mode):
     if mode == "sliced":
         request.getfixturevalue("sliced")

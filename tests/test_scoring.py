@@ -75,18 +75,28 @@ def test_distributed_scores_equal_builtin_ntile(spark, sliced, n):
     assert sorted(add_scores(df).collect()) == sorted(builtin_scores(df).collect())
 
 
-def test_one_task_scores_equal_builtin_ntile(spark):
+def test_scores_of_one_slice_equal_builtin_ntile(spark):
     df = customers(spark, 1001)
     assert sorted(add_scores(df).collect()) == sorted(builtin_scores(df).collect())
 
 
+@pytest.mark.parametrize("missing", [1, 2, 7])
+def test_null_metrics_come_last(spark, sliced, missing):
+    df = stage(
+        customers(spark, 10).withColumn("monetary", F.when(F.col("customer_id") > missing, F.col("monetary")))
+    )
+    tile = F.ntile(5).over(Window.orderBy(F.col("monetary").asc_nulls_last(), "customer_id"))
+    ours = add_scores(df).select("customer_id", "monetary_score")
+    assert sorted(ours.collect()) == sorted(df.select("customer_id", tile).collect())
+
+
 def test_scores_of_no_rows(spark):
     assert add_scores(customers(spark, 0)).count() == 0
 
 
 def test_distributed_ranks_equal_row_number(spark, sliced):
     df = customers(spark, 4001)
-    ranked = rank_rows(df, "customer_id", METRICS, rows=df.count())
+    ranked = rank_rows(df, "customer_id", METRICS)
     for metric in METRICS:
         plain = df.select(
             "customer_id", F.row_number().over(Window.orderBy(metric, "customer_id")).cast("bigint").alias("rank")

@@ -112,13 +112,12 @@ def add_calendar(df: DataFrame) -> DataFrame:
 def drop_negative_balances(df: DataFrame) -> DataFrame:
     """Remove every row of customers whose revenue adds up to less than 0.
 
-    ``df`` is read twice, so it should be a stored table or a staged frame. The ids
-    are staged too: the join then sees the size of the list and broadcasts it when it
-    is small. When it is not, both sides are plain exchanges and adaptive execution
-    can split a customer that holds much of the table.
+    ``df`` is evaluated twice up to its last shuffle, which both sides of the join read.
+    The list of ids is dealt out anew, so that both sides of a join without broadcast are
+    plain exchanges and adaptive execution can split a customer that holds much of the table.
     """
     balances = df.filter(known_customer()).groupBy("customer_id").agg(F.sum("revenue").alias("balance"))
-    in_debt = stage(balances.filter("balance < 0").select("customer_id"), "in-debt")
+    in_debt = balances.filter("balance < 0").select("customer_id").hint("rebalance")
     return df.join(in_debt, "customer_id", "left_anti").select(*df.columns)
 
 

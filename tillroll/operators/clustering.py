@@ -15,20 +15,25 @@ CLUSTER_INPUTS = ["recency", "frequency", "monetary", "return_ratio", "avg_order
 
 
 def cluster_inputs(features: DataFrame) -> DataFrame:
-    """Long-tailed measures on a log scale, in a fixed order of customers."""
+    """Long-tailed measures on a log scale."""
     return features.select(
         "customer_id", *[signed_log(F.col(name)).alias(name) for name in CLUSTER_INPUTS]
     )
 
 
-def fit_clusters(features: DataFrame, k: int = 4, seed: int = 42) -> PipelineModel:
-    """Fit scaling and K-Means; ``features`` is read on every iteration, so stage it."""
+def fit_clusters(features: DataFrame, k: int = 4, seed: int = 42, partitions: int = 8) -> PipelineModel:
+    """Fit scaling and K-Means on ``partitions`` sorted parts of the customers.
+
+    The parts and their order depend on the customers only, and so does the random
+    start: the files that ``features`` is read from make no difference.
+    """
     stages = [
         VectorAssembler(inputCols=CLUSTER_INPUTS, outputCol="raw_vector"),
         StandardScaler(inputCol="raw_vector", outputCol="features", withMean=True, withStd=True),
         KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed),
     ]
-    return Pipeline(stages=stages).fit(cluster_inputs(features))
+    in_order = features.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
+    return Pipeline(stages=stages).fit(cluster_inputs(in_order))
 
 
 def assign_clusters(model: PipelineModel, features: DataFrame) -> DataFrame:

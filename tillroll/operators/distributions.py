@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import one_row_each, signed_log
-from tillroll.operators.ordering import QUARTILES, quantile_picks, running_total, value_counts
+from tillroll.operators.ordering import QUARTILES, holds_quantile, quantile_picks, running_total, value_counts
 from tillroll.operators.profiling import numeric_columns
 from tillroll.operators.sampling import sample_rows
 from tillroll.staging import stage, stage_each
@@ -32,7 +32,11 @@ def histogram(counts: DataFrame, bins: int) -> DataFrame:
         F.when(point, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(point, F.lit(1.0 / bins)).otherwise((F.col("hi") - F.col("lo")) / bins).alias("width"),
     )
-    bin_of = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
+    # The division can end one bin off the printed edges, which decide.
+    near = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
+    too_high = F.col("x") < F.col("lo") + near * F.col("width")
+    too_low = (F.col("x") >= F.col("lo") + (near + 1) * F.col("width")) & (near < bins - 1)
+    bin_of = near - too_high.cast("int") + too_low.cast("int")
     filled = (
         counts.join(F.broadcast(ranges), "column")
         .groupBy("column", bin_of.cast("int").alias("bin"))
@@ -128,7 +132,7 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year"
     columns = columns or ["quantity", "price"]
     by = ["column", key]
     counts = stage(value_counts(df.filter(F.col(key).isNotNull()), columns, [key]), "counts")
-    ranked = running_total(counts, by, ["value"], "n", rows=counts.count())
+    ranked = running_total(counts, by, ["value"], "n", holds_quantile(QUARTILES))
     boxes = ranked.groupBy(*by).agg(
         F.max("total").alias("count"),
         *[pick.alias(name) for name, pick in quantile_picks(QUARTILES).items()],

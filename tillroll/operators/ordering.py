@@ -8,7 +8,7 @@ summed, and the few slice sums give the offset at which each slice starts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,41 +16,23 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import METRIC_TYPE
 from tillroll.staging import stage
 
-# Up to this many rows one task per group sorts faster than the sliced plan starts.
-SINGLE_TASK_ROWS = "spark.tillroll.singleTaskRows"
-SINGLE_TASK_ROWS_DEFAULT = 200_000
-
-
 def running_total(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
     weight: str | None = None,
-    rows: int | None = None,
+    holds: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``upto``, the sum of ``weight`` up to and with this row, and ``total``.
 
     Sums run within each group of ``by`` (few of them: column names, years) in the order
     of ``order``, which must be unique within it; a hot value is either counted into
     one row first or told apart by a key, so the range shuffle can always split it.
-    ``rows`` is the size of ``df`` if it is known and ``df`` is cheap to read again;
-    otherwise ``df`` is staged and counted.
+    ``holds`` tells, from the sum before a slice, the sum with it and the total, whether
+    any of its rows is asked for; without it all are. Other slices are only summed.
     """
-    if rows is None:
-        df = stage(df, "ordered")
-        rows = df.count()
     amount = F.col(weight) if weight else F.lit(1).cast("bigint")
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS, str(SINGLE_TASK_ROWS_DEFAULT)))
     start_to_here = (Window.unboundedPreceding, Window.currentRow)
-    if rows <= limit:
-        groups = Window.partitionBy(*by)
-        return df.withColumns(
-            {
-                "upto": F.sum(amount).over(groups.orderBy(*order).rowsBetween(*start_to_here)),
-                "total": F.sum(amount).over(groups),
-            }
-        )
-
     sliced = stage(
         df.repartitionByRange(*by, *order).withColumn("slice", F.spark_partition_id()), "sliced"
     )
@@ -61,17 +43,19 @@ def running_total(
     offsets = sums.select(
         *by,
         "slice",
+        "slice_sum",
         (
             F.sum("slice_sum").over(groups.orderBy("slice").rowsBetween(*start_to_here)) - F.col("slice_sum")
         ).alias("before"),
         F.sum("slice_sum").over(groups).alias("total"),
     )
+    if holds:
+        offsets = offsets.filter(holds(F.col("before"), F.col("before") + F.col("slice_sum"), F.col("total")))
     within = Window.partitionBy(*by, "slice").orderBy(*order).rowsBetween(*start_to_here)
     return (
-        sliced.withColumn("within", F.sum(amount).over(within))
-        .join(stage(offsets, "offsets"), [*by, "slice"])
-        .withColumn("upto", F.col("before") + F.col("within"))
-        .drop("slice", "before", "within")
+        sliced.join(stage(offsets.drop("slice_sum"), "offsets"), [*by, "slice"])
+        .withColumn("upto", F.col("before") + F.sum(amount).over(within))
+        .drop("slice", "before")
     )
 
 
@@ -91,23 +75,38 @@ def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
     return values.groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rank_rows(df: DataFrame, key: str, columns: Sequence[str], rows: int | None = None) -> DataFrame:
-    """Rank of every row by each column, ties broken by ``key``: (key, column, value, rank).
+def rank_rows(df: DataFrame, key: str, columns: Sequence[str], ranks: Sequence[int] | None = None) -> DataFrame:
+    """Rank of every row by each column, nulls last, ties broken by ``key``: (key, column, value, rank).
 
-    Values stay exact decimals, so that ranks follow the amounts to the last digit.
+    Values stay exact decimals, so that ranks follow the amounts to the last digit. With
+    ``ranks``, only the rows of these ranks are found and returned.
     """
-    ranked = running_total(
-        long_form(df, columns, [key], METRIC_TYPE),
-        ["column"],
-        ["value", key],
-        rows=None if rows is None else rows * len(columns),
-    )
-    return ranked.select(key, "column", "value", F.col("upto").alias("rank"))
+    values = long_form(df, columns, [key], METRIC_TYPE).withColumn("missing", F.col("value").isNull())
+    asked = F.array(*[F.lit(rank).cast("bigint") for rank in ranks or []])
+    holds = None
+    if ranks is not None:
+        holds = lambda before, upto, _: F.exists(asked, lambda rank: (before < rank) & (rank <= upto))
+    ranked = running_total(values, ["column"], ["missing", "value", key], holds=holds)
+    ranked = ranked.select(key, "column", "value", F.col("upto").alias("rank"))
+    return ranked if ranks is None else ranked.filter(F.array_contains(asked, F.col("rank")))
 
 
 QUARTILES = {"q25": (1, 4), "q50": (1, 2), "q75": (3, 4)}
 
 
+def holds_quantile(quantiles: dict[str, tuple[int, int]]) -> Callable[[Column, Column, Column], Column]:
+    """Whether a slice holds one of the two values around a quantile."""
+
+    def holds(before: Column, upto: Column, total: Column) -> Column:
+        needed = F.lit(False)
+        for top, bottom in quantiles.values():
+            low = F.floor(F.lit(top) * (total - 1) / bottom)
+            needed = needed | ((before <= low + 1) & (low < upto))
+        return needed
+
+    return holds
+
+
 def quantile_picks(quantiles: dict[str, tuple[int, int]]) -> dict[str, Column]:
     """Aggregates that read linear quantiles off counted, running-total rows.
 
@@ -136,19 +135,18 @@ def describe_counts(counts: DataFrame) -> DataFrame:
     """
     counts = stage(counts, "counts")
     mean = (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
-    # One mean per column of the described frame, which bounds the broadcast.
+    # One row per column of the described frame, which bounds the broadcasts.
     means = F.broadcast(counts.groupBy("column").agg(mean))
     away = F.col("value") - F.col("mean")
-    return (
-        running_total(counts, ["column"], ["value"], "n", rows=counts.count())
-        .join(means, "column")
-        .groupBy("column")
-        .agg(
-            F.max("total").alias("count"),
-            F.max("mean").alias("mean"),
-            F.sqrt(F.sum(F.col("n") * away * away) / F.nullif(F.max("total") - 1, F.lit(0))).alias("std"),
-            F.min("value").alias("min"),
-            *[pick.alias(name) for name, pick in quantile_picks(QUARTILES).items()],
-            F.max("value").alias("max"),
-        )
+    moments = counts.join(means, "column").groupBy("column").agg(
+        F.sum("n").alias("count"),
+        F.max("mean").alias("mean"),
+        F.sqrt(F.sum(F.col("n") * away * away) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    picked = running_total(counts, ["column"], ["value"], "n", holds_quantile(QUARTILES))
+    quartiles = picked.groupBy("column").agg(*[pick.alias(name) for name, pick in quantile_picks(QUARTILES).items()])
+    return moments.join(F.broadcast(quartiles), "column").select(
+        "column", "count", "mean", "std", "min", *QUARTILES, "max"
     )

@@ -37,29 +37,32 @@ def last_ranks(n: int, buckets: int, rule: str) -> list[int]:
 def add_scores(
     df: DataFrame, key: str = "customer_id", rule: str = "ntile", buckets: int = BUCKETS
 ) -> DataFrame:
-    """Add a 1..``buckets`` score per metric, ordered by (metric, key), for a whole-number key.
+    """Add a 1..``buckets`` score per metric, ordered by (metric, key), null metrics last.
 
     ``df`` has one row per key and is read several times, so it should be staged. Only
     the row at the end of each bucket is looked up (at most ``buckets - 1`` per metric);
     a row's score is then the number of those it lies beyond, which is decided row by
-    row and moves no data.
+    row and moves no data. Both rules rank null metrics last.
     """
     n = df.count()
-    ends = last_ranks(n, buckets, rule)
-    ranked = rank_rows(df, key, list(SCORES), rows=n)
-    edges = ranked.filter(F.col("rank").isin(sorted(set(ends)))).collect()
+    # Without rows every end is rank 0, which no row holds.
+    ends = [end for end in last_ranks(n, buckets, rule) if end]
+    edges = rank_rows(df, key, list(SCORES), sorted(set(ends))).collect()
     edge_at = {(edge["column"], edge["rank"]): (edge["value"], edge[key]) for edge in edges}
 
-    def beyond(metric: str, end: int) -> str:
+    def beyond(metric: str, end: int) -> Column:
         value, owner = edge_at[metric, end]
-        here, edge = f"CAST({metric} AS {METRIC_TYPE})", f"CAST({value} AS {METRIC_TYPE})"
-        return f"int({here} > {edge} OR ({here} = {edge} AND {key} > {owner:d}))"
+        here = F.col(metric).cast(METRIC_TYPE)
+        after = F.col(key) > F.lit(owner)
+        if value is None:
+            return F.coalesce(here.isNull() & after, F.lit(False))
+        edge = F.lit(value).cast(METRIC_TYPE)
+        return here.isNull() | (here > edge) | ((here == edge) & after)
 
     scores = {}
     for metric, (name, smallest_is_best) in SCORES.items():
-        # Without rows every end is rank 0, which no row holds.
-        bucket = " + ".join(["1", *[beyond(metric, end) for end in ends if end]])
-        scores[name] = F.expr(f"{buckets + 1} - ({bucket})" if smallest_is_best else bucket)
+        bucket = sum((beyond(metric, end).cast("int") for end in ends), F.lit(1))
+        scores[name] = F.lit(buckets + 1) - bucket if smallest_is_best else bucket
     return df.withColumns(scores)
 
 

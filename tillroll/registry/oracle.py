@@ -195,7 +195,7 @@ def histogram(bins: int) -> str:
          CASE WHEN min(x) = max(x) THEN 1.0 / {bins} ELSE (max(x) - min(x)) / {bins} END AS width
   FROM counted GROUP BY "column"),
 filled AS (
-  SELECT c."column", CAST(least(floor((x - lo) / width), {bins - 1}) AS INTEGER) AS bin, count(*) AS n
+  SELECT c."column", CAST((SELECT max(b) FROM range({bins}) t(b) WHERE b = 0 OR x >= lo + b * width) AS INTEGER) AS bin, count(*) AS n
   FROM counted c JOIN ranges r ON c."column" = r."column" GROUP BY 1, 2),
 bins AS (
   SELECT r."column", CAST(b AS INTEGER) AS bin, lo + b * width AS left_edge, lo + (b + 1) * width AS right_edge

@@ -76,9 +76,7 @@ def scores(rule: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def ranks(core: DataFrame) -> DataFrame:
-    ranked = ordering.rank_rows(
-        customers.add_recency(core), "customer_id", list(scoring.SCORES), rows=core.count()
-    )
+    ranked = ordering.rank_rows(customers.add_recency(core), "customer_id", list(scoring.SCORES))
     return ranked.withColumnRenamed("column", "metric")
 
 

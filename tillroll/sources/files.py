@@ -61,6 +61,16 @@ def write_csv(df: DataFrame, path: str, first: str | None = None) -> None:
     )
 
 
+def holds_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has a visible file: not only hidden ones or those of a broken write."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.exists(folder) and any(
+        not status.getPath().getName().startswith(("_", ".")) for status in store.listStatus(folder)
+    )
+
+
 def land(df: DataFrame, path: str, force: bool = False) -> None:
     """Write a Parquet tier unless it already holds data; ``force`` replaces it."""
-    df.write.mode("overwrite" if force else "ignore").parquet(path)
+    if force or not holds_data(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
