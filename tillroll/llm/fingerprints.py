@@ -76,7 +76,9 @@ def minima(texts: list[str]) -> np.ndarray:
 def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Low bits per bin and text, as (texts, BINS) bytes; and which texts have no words."""
     table = minima(texts)
-    return (mix(table + np.uint64(1)) & np.uint64((1 << BITS) - 1)).astype(np.uint8), (table == EMPTY).all(axis=1)
+    # A minimum that fills many bins has other bits in each, so chance matches are independent.
+    mixed = mix(table ^ mix(np.arange(1, BINS + 1, dtype=np.uint64)))
+    return (mixed & np.uint64((1 << BITS) - 1)).astype(np.uint8), (table == EMPTY).all(axis=1)
 
 
 def hexadecimal(low: np.ndarray, empty: np.ndarray) -> list[str]:

@@ -125,7 +125,9 @@ def rules() -> list[tuple[str, list[tuple[int, float, str, str]]]]:
         for priority, confidence, form in FORMS:
             name = identifier if priority == 1 else names
             if name:
-                found.setdefault(keyword, []).append((priority, confidence, label, form.format(name)))
+                # Names that end in "license" themselves need no other word for it.
+                expression = f"(?:{name})(?: licen[cs]e)?" if priority == 3 and " license" in name else form.format(name)
+                found.setdefault(keyword, []).append((priority, confidence, label, expression))
     for label, keyword, priority, confidence, expression in TEXTS:
         found.setdefault(keyword, []).append((priority, confidence, label, expression))
     return sorted(found.items())
