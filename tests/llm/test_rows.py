@@ -56,7 +56,7 @@ def test_toxicity_of_held_out_documents_and_of_hidden_insults(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     model = toxicity.learn_from_labels(docs, labels)
     plain = "the heonand of thing is an one there. "
-    texts = [plain, plain + "you idiot", plain + "YOU I D I O T!", plain + "an i-d-i-o-t", plain + "an idxiot", "", None]
+    texts = [plain, plain + "you idiot", plain + "YOU I D I O T!", plain + "an i-d-i-o-t", plain + "an idiiot", "", None]
     made = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "doc_id long, text string")
     found = [row.predicted for row in toxicity.score(made, model, ["doc_id"]).orderBy("doc_id").collect()]
     assert found == [0, 1, 1, 1, 1, 0, 0]
