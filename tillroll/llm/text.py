@@ -63,15 +63,16 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``PIECE`` bytes of text; null texts become empty."""
-    texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
     at = batch.schema.get_field_index(column)
-    batch = batch.set_column(at, column, texts)
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, done + PIECE, "right")))
-        yield batch.slice(start, stop - start)
+        piece = batch.slice(start, stop - start)
+        # Only the texts of a piece are ever copied, not those of the batch.
+        yield piece.set_column(at, column, pc.fill_null(piece.column(column), "").cast(pa.large_string()))
         start = stop
 
 
