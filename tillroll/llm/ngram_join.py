@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.passing import docs_without, id_set, likely_and_others, passing
+from tillroll.llm.passing import id_set, likely_and_others, passing
 from tillroll.llm.text import shingle_sets, word_pieces
 from tillroll.llm.vectors import BitSet, add_up, packed
 from tillroll.staging import stage
@@ -236,7 +236,7 @@ def sets_of(wanted: BitSet):
     """(id, set) of the rows whose id may be in the bit set; one Python worker does both."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, words in word_pieces(passing(wanted, "id", True)(batches)):
+        for piece, words in word_pieces(passing(wanted, "id")(batches)):
             found = [shingles.tobytes() for shingles in shingle_sets(words)]
             yield pa.record_batch([piece.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
 
@@ -333,9 +333,16 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``documents`` with one row per group of links: that of the group's smallest id.
 
     Of rows with the same id, which are one document, one with the smallest text hash
-    stays; rows without an id are one document too.
+    stays; rows without an id are one document too. Only rows whose id may be dropped or
+    repeated are compared; all others pass by without a shuffle.
     """
     dropped = similarity_components(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = docs_without(docs, stage(dropped.select("doc_id").distinct(), "dropped"), "doc_id")
+    dropped = dropped.groupBy("doc_id").agg(F.lit(True).alias("gone"))
+    repeated = docs.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("again")).filter("again")
+    listed = stage(dropped.select("doc_id", "gone").union(repeated.select("doc_id", F.lit(False))), "listed")
+    likely, others = likely_and_others(docs, listed, "doc_id")
+    gone = listed.filter("gone").select(F.col("doc_id").alias("_gone"))
+    kept = likely.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
     same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_copy", F.row_number().over(same_id)).filter("_copy = 1").drop("_copy")
+    kept = kept.withColumn("_copy", F.row_number().over(same_id)).filter("_copy = 1").drop("_copy")
+    return others.unionByName(kept)

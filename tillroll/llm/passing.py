@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,20 +29,29 @@ def id_set(ids: DataFrame, key: str, log_bits: int = 23) -> BitSet:
     return bit_set(ids, key, log_bits, mixed=False)
 
 
-def passing(wanted: BitSet, key: str, inside: bool):
-    """Keep the rows whose key may be in the set, or those whose key surely is not."""
+def passing(wanted: BitSet, key: str):
+    """Keep the rows whose key may be in the set."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(wanted.has(hashed(batch.column(key))) == inside))
+            yield batch.filter(pa.array(wanted.has(hashed(batch.column(key)))))
 
     return pick
 
 
 def likely_and_others(docs: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``docs`` whose long ``key`` may be among ``ids``, and those whose key surely is not."""
-    wanted, types = id_set(ids, key), type_list(docs, docs.columns)
-    return docs.mapInArrow(passing(wanted, key, True), types), docs.mapInArrow(passing(wanted, key, False), types)
+    """Rows of ``docs`` whose long ``key`` may be among ``ids``, and those whose key surely is not.
+
+    Only the keys go to Python; the rows stay in the JVM.
+    """
+    wanted = id_set(ids, key)
+
+    @F.pandas_udf("boolean")
+    def may_be_listed(keys: pd.Series) -> pd.Series:
+        return pd.Series(wanted.has(mix(keys.to_numpy(np.int64).view(np.uint64))))
+
+    likely = may_be_listed(F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")))
+    return docs.filter(likely), docs.filter(~likely)
 
 
 def docs_without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
