@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.batches import small_batches
 from tillroll.llm.text import joined, mix, pieces, range_hashes, run_hashes, runs
 from tillroll.llm.passing import docs_without
 from tillroll.llm.vectors import bit_set
@@ -179,6 +180,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id"
     ``matched`` of the item's ``usable`` windows stand in the document;
     ``reparameterised`` tells that a slot has another value there.
     """
+    small_batches(docs.sparkSession)
     items = stage(with_id(benchmark, item_key).mapInArrow(template_windows(None), WINDOWS), "items")
     wanted = bit_set(items, "h", LOG_BITS)
     found = with_id(docs, doc_key).mapInArrow(template_windows(list(range(LITERALS, WINDOW + 1)), wanted), WINDOWS)

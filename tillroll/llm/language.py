@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.batches import small_batches
 from tillroll.llm.learning import HELD_OUT, bounded_sample, code_points, fold, is_held_out, letters
 from tillroll.llm.text import mix, pieces
 from tillroll.llm.vectors import add_up, packed
@@ -138,6 +139,7 @@ def lowered(piece: pa.RecordBatch) -> list[str]:
 
 def learn(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel:
     """Model of the rows (key, text, lang); null texts and languages teach nothing."""
+    small_batches(labelled.sparkSession)
     known = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("key", "text", "lang")
     sample, shares = bounded_sample(known, "lang", "key", docs_per_language)
     languages = sorted(shares)

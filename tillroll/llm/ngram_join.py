@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.batches import small_batches
 from tillroll.llm.components import components
 from tillroll.llm.passing import id_set, likely_and_others, passing
 from tillroll.llm.text import shingle_sets, word_pieces
@@ -280,6 +281,7 @@ def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) per row of ``docs``; see the module for the rules."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     sizes = stage(rows.mapInArrow(measured, "id long, n long, half1 long, half2 long, slices binary, sketch binary"), "sets")
     sketch = add_up(sizes.select("sketch"), "sketch", CELLS, np.int32)

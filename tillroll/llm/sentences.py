@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.batches import small_batches
 from tillroll.llm.text import NOT_BLANK, ROOT, ROOT_INVERSE, Words, joined, mix, pieces, powers, words_of
 from tillroll.llm.passing import likely_and_others, type_list
 from tillroll.llm.vectors import bit_set
@@ -127,6 +128,7 @@ def repeated_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text")
     ``removed`` has (place, n, first_id): n sentences from place on occur first in
     ``first_id``. Its size is bounded by the document's.
     """
+    small_batches(docs.sparkSession)
     rows = with_ids(docs, key, text)
     runs = rows.mapInArrow(occurrences(), OCCURRENCE)
     # Copies of a row are one occurrence; the smallest and largest differ if there are more.
