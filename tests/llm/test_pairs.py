@@ -57,6 +57,13 @@ def test_one_row_per_group_stays_with_its_extra_columns(documents):
     assert kept.columns == docs.columns and sorted(row.doc_id for row in kept.collect()) == [1, 7]
 
 
+def test_texts_that_share_an_id_or_have_none_are_documents_of_their_own(documents):
+    docs = documents("x y z", "p q r", "X y z", "p q r", "own", "other", "own", None, "", ids=[None, None, 1, 2, 7, 7, 7, None, None])
+    kept = ngram_join.without_near_duplicates(docs).collect()
+    found = sorted((str(row.doc_id), str(row.text)) for row in kept)
+    assert found == [("7", "other"), ("7", "own"), ("None", ""), ("None", "None"), ("None", "p q r"), ("None", "x y z")]
+
+
 def test_repeated_passages_are_cut_from_later_documents(documents):
     rng = random.Random(2)
     passage = ". ".join(" ".join(prose(rng, 9)) for _ in range(7)) + "."
@@ -116,6 +123,13 @@ def test_copies_and_other_parameters_are_leaks(spark, documents):
     assert decontamination.contamination(docs.limit(0), benchmark).count() == 0
 
 
+def test_a_leak_takes_no_other_text_without_id_or_with_its_id(spark, documents):
+    benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = documents("So. " + ITEM, "clean", "So. " + ITEM, "clean too", ids=[None, None, 3, 3])
+    kept = decontamination.without_leaks(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(row.text for row in kept.collect()) == ["clean", "clean too"]
+
+
 def test_inconsistent_slots_are_no_leak(spark, documents):
     item = "if 5 apples and 5 pears and 5 plums and 5 figs and 5 nuts cost the same then why"
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")

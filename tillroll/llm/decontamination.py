@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.batches import small_batches
 from tillroll.llm.text import joined, mix, pieces, range_hashes, run_hashes, runs
-from tillroll.llm.passing import docs_without
+from tillroll.llm.passing import docs_without, row_key
 from tillroll.llm.vectors import bit_set
 from tillroll.staging import stage
 
@@ -213,8 +213,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id"
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` that no benchmark item contaminates.
 
-    Only ids that may be contaminated meet the list of those that are; all other rows pass
-    by without a shuffle.
+    Every row is judged by its own text, also where ids are missing or repeated. Only rows
+    that may be contaminated meet the list of those that are; all others pass by without a
+    shuffle.
     """
-    leaked = stage(contamination(docs, benchmark).select("doc_id").distinct(), "leaked")
-    return docs_without(docs, leaked, "doc_id")
+    keyed = docs.withColumn("_row", row_key())
+    leaked = stage(contamination(keyed, benchmark, "_row").select("_row").distinct(), "leaked")
+    return docs_without(keyed, leaked, "_row").drop("_row")

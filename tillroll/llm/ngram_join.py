@@ -24,7 +24,8 @@ differ from their texts only with a chance of about n*n / 2**64.
 
 Rows with the same id count as one document with several texts: links of either text
 are its links. Rows without an id are taken as one such document. The result has one row
-per input row.
+per input row. The stage of the pipeline (``without_near_duplicates``) takes every id and
+text as a document of its own.
 """
 
 from __future__ import annotations
@@ -34,12 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.batches import small_batches
 from tillroll.llm.components import components
-from tillroll.llm.passing import id_set, likely_and_others, passing
+from tillroll.llm.passing import id_set, likely_and_others, passing, row_key
 from tillroll.llm.text import shingle_sets, word_pieces
 from tillroll.llm.vectors import BitSet, add_up, packed
 from tillroll.staging import stage
@@ -334,17 +335,26 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``documents`` with one row per group of links: that of the group's smallest id.
 
-    Of rows with the same id, which are one document, one with the smallest text hash
-    stays; rows without an id are one document too. Only rows whose id may be dropped or
-    repeated are compared; all others pass by without a shuffle.
+    Rows are joined by a key of id and text, so texts that only share an id, or have none,
+    are documents of their own; a missing id comes before all others. Of rows with equal
+    ids and texts one stays. Only rows that may be dropped or repeated are compared; all
+    others pass by without a shuffle.
     """
-    dropped = similarity_components(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = dropped.groupBy("doc_id").agg(F.lit(True).alias("gone"))
-    repeated = docs.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("again")).filter("again")
-    listed = stage(dropped.select("doc_id", "gone").union(repeated.select("doc_id", F.lit(False))), "listed")
-    likely, others = likely_and_others(docs, listed, "doc_id")
-    gone = listed.filter("gone").select(F.col("doc_id").alias("_gone"))
-    kept = likely.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("_copy", F.row_number().over(same_id)).filter("_copy = 1").drop("_copy")
-    return others.unionByName(kept)
+    keyed = docs.withColumn("_row", row_key())
+    linked = similarity_components(keyed, "_row").filter("_row <> component_id")
+    linked = stage(linked.select("_row", F.col("component_id").alias("_group")).distinct(), "linked")
+    members = linked.union(linked.select(F.col("_group").alias("_row"), "_group").distinct())
+    likely, _ = likely_and_others(keyed.select("_row", "doc_id"), members, "_row")
+    named = likely.distinct().join(members, "_row")
+    first = named.groupBy("_group").agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row")
+    dropped = members.select("_row").join(first, "_row", "left_anti")
+    repeated = keyed.groupBy("_row").agg((F.count(F.lit(1)) > 1).alias("again")).filter("again")
+    listed = stage(
+        dropped.withColumn("gone", F.lit(True)).union(repeated.select("_row", F.lit(False))), "listed"
+    )
+    likely, others = likely_and_others(keyed, listed, "_row")
+    kept = likely.join(listed.filter("gone").select("_row"), "_row", "left_anti")
+    # Copies of a row collapse before the shuffle.
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    kept = kept.groupBy("_row").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_whole"))
+    return others.drop("_row").unionByName(kept.select("_whole.*"))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.text import mix
@@ -54,6 +54,11 @@ def likely_and_others(docs: DataFrame, ids: DataFrame, key: str) -> tuple[DataFr
     return docs.filter(likely), docs.filter(~likely)
 
 
+def row_key(key: str = "doc_id", text: str = "text") -> Column:
+    """A long per row from its id and text: only rows with equal ids and equal texts share it."""
+    return F.xxhash64(F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text))
+
+
 def docs_without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """Rows of ``docs`` whose long ``key`` is not in ``gone``; missing keys are equal."""
     likely, others = likely_and_others(docs, gone, key)
