@@ -104,6 +104,22 @@ def test_emptied_and_repeated_rows_and_extra_columns(documents):
     assert sentences.without_repeats(docs.limit(0)).count() == 0 and sentences.removed_spans(docs.limit(0)).count() == 0
 
 
+def test_different_texts_under_one_id_or_without_id_are_cut_on_their_own(documents):
+    rng = random.Random(4)
+    sentence = lambda: " ".join(prose(rng, 9)) + ". "
+    passage = "".join(sentence() for _ in range(5))
+    own, short = ["".join(sentence() for _ in range(9)) for _ in range(4)], "Only one here."
+    # The passage ends the texts of id 2, and starts both texts without id, at the same place.
+    texts = [passage + own[0], own[1] + passage, own[2], short, passage + own[3], passage + own[0][::-1]]
+    docs = documents(*texts, ids=[1, 2, 2, 2, None, None])
+    kept = {(row.doc_id, row.text.strip()) for row in sentences.without_repeats(docs).collect()}
+    expected = [(1, texts[0]), (2, own[1]), (2, own[2]), (2, short), (None, own[3]), (None, own[0][::-1])]
+    assert kept == {(doc_id, text.strip()) for doc_id, text in expected}
+    # Without the first document, one of the texts without id keeps the passage.
+    spans = sentences.removed_spans(documents(*texts[4:], ids=[None, None])).collect()
+    assert [(row.doc_id, row.first_id, row.removed_text) for row in spans] == [(None, None, passage)]
+
+
 ITEM = "A train leaves Paris at 7 and runs 120 km to the city of Lyon in 2 hours, how fast does it run"
 OTHER = "A train leaves Rome at 9 and runs 340 km to the city of Turin in 5 hours, how fast does it run"
 WRONG = "A train leaves Paris at 7 and runs 120 km to the city of Lyon in 2 hours, how fast does it fly home at 7"

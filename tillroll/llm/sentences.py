@@ -10,10 +10,11 @@ Runs with equal hashes are joined over all documents. The first occurrence, by d
 and place, stays; sentences covered by any other occurrence are removed, together with
 the blanks up to the next sentence. A repetition within one document counts too.
 
-Rows with the same id are the same document: their runs count once, so they lose the
-same sentences. Rows without an id come after all others and count as one document. Null
-and empty texts have no run and stay as they are; so do texts with fewer sentences than a
-run needs.
+Rows with the same id and the same text are the same document: their runs count once, so
+they lose the same sentences. Different texts under one id are documents of their own, in
+the order of a hash of the text. Rows without an id come after all others and are told
+apart in the same way. Null and empty texts have no run and stay as they are; so do texts
+with fewer sentences than a run needs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.batches import small_batches
@@ -96,34 +97,39 @@ def runs_of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Recor
 
 
 def occurrences(wanted=None):
-    """(h, id, place, n) of every run, or of those in the bit set ``wanted``."""
+    """(h, id, copy, place, n) of every run, or of those in the bit set ``wanted``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, _, _, runs in runs_of_pieces(batches):
             keep = np.ones(len(runs.hashes), bool) if wanted is None else wanted.has(runs.hashes)
-            ids = piece.column("id").to_numpy(zero_copy_only=False)
+            ids, copies = (piece.column(name).to_numpy(zero_copy_only=False) for name in ("id", "copy"))
             yield pa.record_batch(
                 [
                     pa.array(runs.hashes[keep].view(np.int64)),
                     pa.array(ids[runs.text[keep]]),
+                    pa.array(copies[runs.text[keep]]),
                     pa.array(runs.place[keep].astype(np.int32)),
                     pa.array((runs.last - runs.first + 1)[keep].astype(np.int32)),
                 ],
-                ["h", "id", "place", "n"],
+                ["h", "id", "copy", "place", "n"],
             )
 
     return find
 
 
-OCCURRENCE = "h long, id long, place int, n int"
+OCCURRENCE = "h long, id long, copy long, place int, n int"
+#: A document: rows with an equal id and an equal hash of the text.
+DOCUMENT = ["id", "copy"]
 
 
-def with_ids(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
+def with_ids(docs: DataFrame, key: str, text: str, *others: Column) -> DataFrame:
+    """(id, copy, text, ...) per row; ``copy`` tells texts with the same id apart."""
+    id_ = F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id")
+    return docs.select(id_, F.xxhash64(text).alias("copy"), F.col(text).alias("text"), *others)
 
 
 def repeated_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, removed) per document that loses sentences.
+    """(id, copy, removed) per document that loses sentences.
 
     ``removed`` has (place, n, first_id): n sentences from place on occur first in
     ``first_id``. Its size is bounded by the document's.
@@ -132,13 +138,13 @@ def repeated_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = with_ids(docs, key, text)
     runs = rows.mapInArrow(occurrences(), OCCURRENCE)
     # Copies of a row are one occurrence; the smallest and largest differ if there are more.
-    where = F.struct("id", "place")
+    where = F.struct(*DOCUMENT, "place")
     repeated = runs.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).filter("first <> last")
     repeated = stage(repeated.select("h", "first"), "repeated")
     found = rows.mapInArrow(occurrences(bit_set(repeated, "h", LOG_BITS)), OCCURRENCE)
-    later = found.join(repeated, "h").filter(F.struct("id", "place") != F.col("first"))
+    later = found.join(repeated, "h").filter(F.struct(*DOCUMENT, "place") != F.col("first"))
     removed = F.struct("place", "n", F.col("first.id").alias("first_id"))
-    return later.groupBy("id").agg(F.collect_set(removed).alias("removed"))
+    return later.groupBy(*DOCUMENT).agg(F.collect_set(removed).alias("removed"))
 
 
 SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("first_id", pa.int64()), ("text", pa.string())])
@@ -191,7 +197,7 @@ def removed_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """One row per removed span: key, start, stop (code points), first_id and the removed text."""
     removed = stage(repeated_sentences(docs, key, text), "removed")
     likely, _ = likely_and_others(with_ids(docs, key, text), removed, "id")
-    cut = likely.join(removed, "id").mapInArrow(lambda batches: cut_texts(batches, ["id"]), f"id long, text string, spans {SPAN_TYPE}")
+    cut = likely.join(removed, DOCUMENT).mapInArrow(lambda batches: cut_texts(batches, ["id"]), f"id long, text string, spans {SPAN_TYPE}")
     whole = lambda column: F.nullif(F.col(column), F.lit(NO_ID))
     spans = cut.select("id", F.explode("spans").alias("span")).select("id", "span.*")
     return spans.select(whole("id").alias(key), "start", "stop", whole("first_id").alias("first_id"), F.col("text").alias("removed_text"))
@@ -204,9 +210,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     removed = stage(repeated_sentences(docs), "removed")
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", row)
+    rows = with_ids(docs, "doc_id", "text", row)
     likely, others = likely_and_others(rows, removed, "id")
-    touched = likely.join(removed, "id", "left").select("text", "row", "removed")
+    touched = likely.join(removed, DOCUMENT, "left").select("text", "row", "removed")
     cut_type = f"row {touched.schema['row'].dataType.simpleString()}, text string, spans {SPAN_TYPE}"
     cut = touched.mapInArrow(lambda batches: cut_texts(batches, ["row"]), cut_type)
     cut = cut.filter((F.size("spans") == 0) | (F.length(F.trim("text")) > 0))
