@@ -8,7 +8,7 @@ import pytest
 from llm_helpers import ascii_lower, components_of, shingles, words
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontamination, language, licenses, mixing, toxicity, urls
+from tillroll.llm import chat, decontamination, language, license_rules, licenses, mixing, toxicity, urls
 from tillroll.llm.registry import LLM_QUERIES
 from tillroll.staging import stage
 
@@ -98,6 +98,48 @@ def test_license_rules(documents, text, labels):
     assert row.labels == labels and (row.score > 0) == bool(labels)
 
 
+def alternatives(expression):
+    """All texts that an expression of optional parts, branches and classes matches."""
+    joined_to = lambda heads, tails: [head + tail for head in heads for tail in tails]
+
+    def texts(parsed):
+        found = [""]
+        for kind, value in parsed:
+            kind = str(kind)
+            if kind == "LITERAL":
+                own = [chr(value)]
+            elif kind == "IN":
+                own = [chr(low) for _, item in value for low in ([item] if isinstance(item, int) else range(item[0], item[1] + 1))]
+            elif kind == "BRANCH":
+                own = [text for branch in value[1] for text in texts(branch)]
+            elif kind == "SUBPATTERN":
+                own = texts(value[3])
+            else:
+                assert kind == "MAX_REPEAT" and value[:2] == (0, 1)
+                own = [*texts(value[2]), ""]
+            found = joined_to(found, own)
+        return found
+
+    return texts(re._parser.parse(expression))
+
+
+def test_every_alternative_of_every_license_rule_is_found(spark):
+    """In texts with line feeds and hyphens between the words."""
+    asked = set()
+    for label, _, names, identifier in license_rules.FAMILIES:
+        # A name that ends in a blank has none after it in a normalised text.
+        asked |= {(label, f"licensed under {name}") for name in alternatives(names) if not name.endswith(" ")}
+        asked |= {(label, f"spdx license identifier {name}") for name in alternatives(identifier) if name}
+    for label, _, _, _, expression in license_rules.TEXTS:
+        asked |= {(label, text.strip()) for text in alternatives(expression)}
+    asked = sorted(asked)
+    texts = [text.upper().replace(" ", "\n" if i % 2 else "-") for i, (_, text) in enumerate(asked)]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {row.doc_id: row.labels.split(",") for row in licenses.scan(made, ["doc_id"]).collect()}
+    missed = [(pair, found[i]) for i, pair in enumerate(asked) if pair[0] not in found[i]]
+    assert not missed
+
+
 def test_urls(spark):
     rows = [
         ("https://WWW.a.net/x?y#z", "www.a.net", "/x", "net/", "block"),

@@ -1,9 +1,9 @@
 """License scan with ordered signature rules, in Spark's own expressions only.
 
 Words are runs of a-z, digits and characters beyond ASCII, after lower-casing A-Z. A text
-is normalised to its words, each after one blank, and only texts that hold a gate (a part
-that every rule needs) go on. A rule runs if its keyword is a word of the text. Its
-matches are intervals of words. An interval is suppressed if another one of the same or a
+is normalised to its words, each after one blank, and only texts that hold a gate (one of
+the parts that the rules need) go on. A rule runs if one of its keywords is a word of the
+text. Its matches are intervals of words. An interval is suppressed if another one of the same or a
 more explicit priority contains it; of equal intervals the first in the order of
 priority and label stays. What is left gives the labels, and the largest confidence of
 its rules is the score.
@@ -41,11 +41,11 @@ def words_in(part: Column) -> Column:
 
 
 def all_rules() -> Column:
-    """The rules as an array of (keyword, rules), folded to a constant by the optimizer."""
+    """The rules as an array of (keywords, rules), folded to a constant by the optimizer."""
     return F.array(
         *[
             F.struct(
-                F.lit(f" {keyword} ").alias("keyword"),
+                F.array(*[F.lit(f" {keyword} ") for keyword in keywords]).alias("keywords"),
                 F.array(
                     *[
                         F.struct(
@@ -58,7 +58,7 @@ def all_rules() -> Column:
                     ]
                 ).alias("rules"),
             )
-            for keyword, group in rules()
+            for keywords, group in rules()
         ]
     )
 
@@ -114,7 +114,7 @@ def kept_labels(intervals: Column) -> Column:
 
 def detect(text: Column) -> Column:
     """(labels, score) of a normalised text by all rules."""
-    active = F.filter(all_rules(), lambda group: F.contains(text, group["keyword"]))
+    active = F.filter(all_rules(), lambda group: F.exists(group["keywords"], lambda keyword: F.contains(text, keyword)))
     each = F.transform(F.flatten(F.transform(active, lambda group: group["rules"])), lambda rule: intervals_of(text, rule))
     return kept_labels(F.flatten(each))
 
@@ -136,14 +136,13 @@ def phrase_places(text: Column, phrase: str) -> Column:
 def scan(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
     """``columns`` of every row with words, places of the phrases, labels and score."""
     words = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), NO_WORD, " ")
-    spaced = docs.select(*columns, F.concat(F.lit(" "), F.trim(words), F.lit(" ")).alias("words"), F.lower(text).alias("low"))
+    spaced = docs.select(*columns, F.translate(F.concat(F.lit(" "), F.trim(words), F.lit(" ")), UPPER, LOWER).alias("words"))
     empty = F.col("words") == "  "
-    gates = reduce(lambda a, b: a | b, [F.contains("low", F.lit(gate)) for gate in GATES])
-    short_name = F.col("low").rlike(r"(?<![0-9a-z\x80-\x{10FFFF}])cc(?![a-z\x80-\x{10FFFF}])")
+    gates = reduce(lambda a, b: a | b, [F.contains("words", F.lit(gate)) for gate in [*GATES, " cc "]])
     gated = spaced.select(
         *columns,
         F.when(empty, F.lit(0)).otherwise(words_in(F.col("words")) - 1).cast("long").alias("n_words"),
-        F.when(F.coalesce(gates | short_name, F.lit(False)) & ~empty, F.translate("words", UPPER, LOWER)).alias("words"),
+        F.when(gates, F.col("words")).alias("words"),
     )
     found = gated.select(
         *columns,
