@@ -13,7 +13,7 @@ from tillroll.staging import stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows; texts without any letter go."""
+    """Documents with a letter, in a script that the model knows or not; texts without any go."""
     return language.keep_identified(docs)
 
 

@@ -51,6 +51,14 @@ def test_nothing_to_learn_from(spark, documents):
     assert language.identify(docs.limit(0)).count() == 0 and toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_only_texts_without_letters_leave_the_pipeline(documents):
+    texts = [*["some plain english text"] * 6, "Русский текст", "12 Ω 7", "12 ?! 34", "", None]
+    kept = language.keep_identified(documents(*texts))
+    assert sorted(row.text for row in kept.collect()) == sorted(texts[:8])
+    unlabelled = language.keep_identified(documents("some text", "1", None, lang=None))
+    assert [row.text for row in unlabelled.collect()] == ["some text"]
+
+
 def test_toxicity_of_held_out_documents_and_of_hidden_insults(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

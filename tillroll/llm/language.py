@@ -10,7 +10,9 @@ by name; its score is the share of those letters times the odds against the next
 Learning counts n-grams in a sample of at most about ``DOCS_PER_LANGUAGE`` labelled
 documents per language, chosen by a hash of the id; a model has one fixed-size table per
 language. Null texts, and texts without a letter, are ``und`` with score 0 and no spans;
-so is every text if there is nothing to learn from.
+so is every text if there is nothing to learn from, and a text in a script that no learned
+language has for ``SCRIPT_SHARE`` of its words. The stage of the pipeline
+(``keep_identified``) drops only the texts without a letter.
 """
 
 from __future__ import annotations
@@ -297,18 +299,26 @@ def identify(docs: DataFrame) -> DataFrame:
     return labelled.select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def has_letter(text: str) -> bool:
+    return bool((letters()[code_points([text])[0]] == 1).any())
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``documents`` in a known language: null texts and texts without such a letter go."""
+    """``documents`` with a letter: null texts and texts without any letter go.
+
+    A text with letters stays also if no learned language has its script, or if there was
+    nothing to learn from, where ``identify`` labels it ``und``.
+    """
     model = learn_from_documents(docs)
     shared_model = docs.sparkSession.sparkContext.broadcast(model)  # one fixed-size table per language
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = [
-                found[0] != UNKNOWN
-                for piece in pieces(batch.select(["text"]))
-                for found in labelled_texts(shared_model.value, lowered(piece))
-            ]
+            known = []
+            for piece in pieces(batch.select(["text"])):
+                texts = lowered(piece)
+                found = labelled_texts(shared_model.value, texts)
+                known += [label != UNKNOWN or has_letter(text) for text, (label, _, _) in zip(texts, found)]
             yield batch.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
