@@ -153,6 +153,26 @@ def test_inconsistent_slots_are_no_leak(spark, documents):
     assert [row.doc_id for row in decontamination.contamination(documents(same, mixed), benchmark).collect()] == [0]
 
 
+def test_exact_copies_of_short_items_and_of_items_without_literals(spark, documents):
+    items = [
+        "What is the capital of France?",
+        "Which animal did Mary Jones see first at the zoo?",
+        "What is 12 times 7?",
+        "12 + 7 - 5 * 8 =",
+        "Anna Bell, Carl Dent, Emma Fox: 1 2 3 4 5 6 7 8 9 10 11 12 13 14",
+        "?!",
+        None,
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"Question: {items[0]} Paris.", f"He asked Tom {items[1]}", f"so\nwhat is 12 times 7? 84", items[3], f"Then {items[4]} end"]
+    texts += ["we know Paris is the capital of France.", "it is 12 + 7", "What is 12", "what is the capital of", "", "?!", None]
+    found = {(row.doc_id, row.item_id): row for row in decontamination.contamination(documents(*texts), benchmark).collect()}
+    assert set(found) == {(i, i) for i in range(5)}
+    assert all(row.matched == row.usable >= 1 and row.share == 1 for row in found.values())
+    kept = decontamination.without_leaks(documents(*texts), benchmark).collect()
+    assert sorted(row.doc_id for row in kept) == list(range(5, 12))
+
+
 def test_given_leaks_are_found(spark, small):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     found = {(row.doc_id, row.item_id) for row in decontamination.contamination(small, benchmark).collect()}

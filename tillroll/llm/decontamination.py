@@ -14,10 +14,15 @@ a question with other parameters. Inconsistent alignments are dropped. A documen
 contaminated by an item if its consistent alignments hold at least ``NEEDED`` different
 windows of the item, or all of them if it has fewer.
 
+Exact copies do not depend on templates, so neither on the reading of a capitalised word
+nor on the number of literals: a document that holds all words of an item in a row is
+contaminated by it, with all its windows. The first ``LITERALS`` words of the items choose
+the places where whole items are looked for.
+
 Before the join, document windows are tested against a bit set of fixed size that holds
 all benchmark windows, so hardly any other window is shuffled, however large either side.
 
-Null and empty texts match nothing, nor do items with too few literals. Rows with the same
+Null and empty texts match nothing, nor do items of fewer than ``LITERALS`` words. Rows with the same
 id count as one document (or item); so do rows without an id.
 """
 
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.batches import small_batches
-from tillroll.llm.text import joined, mix, pieces, range_hashes, run_hashes, runs
+from tillroll.llm.text import ROOT, ROOT_INVERSE, joined, mix, pieces, powers, range_hashes, run_hashes, runs
 from tillroll.llm.passing import docs_without, row_key
 from tillroll.llm.vectors import bit_set
 from tillroll.staging import stage
@@ -75,16 +80,21 @@ def hash_of(word: str) -> np.uint64:
 UNIT_HASHES = np.sort(np.array([hash_of(unit) for unit in UNITS], np.uint64))
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
 PLACEHOLDERS = mix(np.arange(100, 104, dtype=np.uint64))
+#: Instead of a window's place: all words of an item, and its first words.
+WHOLE, ANCHOR = -1, -2
+SALTS = mix(np.arange(200, 202, dtype=np.uint64))
 
 
 @dataclass
 class Tokens:
-    """Canonical tokens of several texts: hash, filler hash, whether literal, and texts' ranges."""
+    """Canonical tokens of several texts: hash, filler hash, whether literal, and texts' ranges; plain words too."""
 
     hashes: np.ndarray
     fillers: np.ndarray
     literal: np.ndarray
     bounds: np.ndarray
+    words: np.ndarray
+    word_bounds: np.ndarray
 
 
 def lowered(texts: pa.Array) -> pa.Array:
@@ -104,7 +114,8 @@ def canonical(texts: pa.Array) -> Tokens:
     text = np.searchsorted(bounds, start, "right") - 1
     if not len(start):
         none = np.empty(0, np.uint64)
-        return Tokens(none, none, np.empty(0, bool), np.zeros(len(bounds), np.int64))
+        nowhere = np.zeros(len(bounds), np.int64)
+        return Tokens(none, none, np.empty(0, bool), nowhere, none, nowhere)
     number = DIGIT[data[start]]
     same_text = np.concatenate([[False], text[1:] == text[:-1]])
     after_number = np.concatenate([[False], number[:-1]]) & same_text
@@ -121,17 +132,78 @@ def canonical(texts: pa.Array) -> Tokens:
     fillers = np.add.reduceat(words * (place_in_name + 1).astype(np.uint64), first)
     kind = kind[first]
     hashes = np.where(kind == LITERAL, words[first], PLACEHOLDERS[kind])
-    return Tokens(hashes, fillers, kind == LITERAL, np.searchsorted(start[first], bounds))
+    return Tokens(
+        hashes, fillers, kind == LITERAL, np.searchsorted(start[first], bounds), words, np.searchsorted(start, bounds)
+    )
+
+
+@dataclass
+class WordRuns:
+    """Hash of any run of words of the texts, whatever its length."""
+
+    words: np.ndarray
+
+    def __post_init__(self) -> None:
+        n = len(self.words)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.words * powers(ROOT, n), out=self.sums[1:])
+        self.back = powers(ROOT_INVERSE, n)
+
+    def hashes(self, first: np.ndarray, size: np.ndarray | int, kind: int) -> np.ndarray:
+        size = np.asarray(size, np.int64)
+        own = (self.sums[first + size] - self.sums[first]) * self.back[first] + size.astype(np.uint64)
+        return mix(mix(own) ^ SALTS[kind])
+
+
+def whole_items(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(h, text, place, n_words) of every item with enough words, and of its first words."""
+    first, counts = tokens.word_bounds[:-1], np.diff(tokens.word_bounds)
+    runs_of = WordRuns(tokens.words)
+    text = np.flatnonzero(counts >= LITERALS)
+    hashes = [runs_of.hashes(first[text], counts[text], WHOLE), runs_of.hashes(first[text], LITERALS, ANCHOR)]
+    return np.concatenate(hashes), np.tile(text, 2), np.repeat([WHOLE, ANCHOR], len(text)), np.tile(counts[text], 2)
+
+
+def whole_copies(tokens: Tokens, item_sizes: list[int], wanted) -> tuple[np.ndarray, np.ndarray]:
+    """(h, text) of the runs of words that may be a whole item, once per text."""
+    runs_of = WordRuns(tokens.words)
+    hashes, texts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    at = np.arange(max(len(tokens.words) - LITERALS + 1, 0))
+    at = at[wanted.has(runs_of.hashes(at, LITERALS, ANCHOR))]
+    text = np.searchsorted(tokens.word_bounds, at, "right") - 1
+    for size in item_sizes:
+        here = at + size <= tokens.word_bounds[text + 1]
+        hashes.append(runs_of.hashes(at[here], size, WHOLE))
+        texts.append(text[here])
+    hashes, texts = np.concatenate(hashes), np.concatenate(texts)
+    known = wanted.has(hashes)
+    found = np.unique(np.stack([texts[known].astype(np.uint64), hashes[known]], axis=1), axis=0)
+    return found[:, 1], found[:, 0].astype(np.int64)
 
 
 WINDOWS = "h long, id long, place int, n_windows int, slots array<long>"
 
 
-def template_windows(sizes: list[int] | None, wanted=None):
-    """(h, id, place, n_windows, slots) of templates.
+def window_rows(hashes, ids, place, n_windows, slots) -> pa.RecordBatch:
+    return pa.record_batch(
+        [
+            pa.array(hashes.view(np.int64)),
+            ids,
+            pa.array(place.astype(np.int32)),
+            pa.array(n_windows.astype(np.int32)),
+            pa.array(slots, pa.list_(pa.int64())),
+        ],
+        ["h", "id", "place", "n_windows", "slots"],
+    )
+
+
+def template_windows(sizes: list[int] | None, wanted=None, item_sizes: list[int] = ()):
+    """(h, id, place, n_windows, slots) of templates, and of whole items without slots.
 
-    For items ``sizes`` is None: windows of ``WINDOW`` tokens, or of the whole item. For
-    documents it lists all window sizes in use, and ``wanted`` has the templates asked for.
+    For items ``sizes`` is None: windows of ``WINDOW`` tokens, or of the whole item; rows of
+    a whole item have its number of words as n_windows. For documents it lists all window
+    sizes in use, ``wanted`` has the templates and whole items asked for, and
+    ``item_sizes`` all numbers of words of an item.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,6 +212,12 @@ def template_windows(sizes: list[int] | None, wanted=None):
                 ids = piece.column("id")
                 tokens = canonical(piece.column("text"))
                 counts = np.diff(tokens.bounds)
+                if wanted is None:
+                    hashes, text, place, size = whole_items(tokens)
+                else:
+                    hashes, text = whole_copies(tokens, item_sizes, wanted)
+                    place = size = np.full(len(text), WHOLE)
+                yield window_rows(hashes, ids.take(pa.array(text)), place, size, [[]] * len(text))
                 for size in sizes or sorted({int(n) for n in counts if LITERALS <= n < WINDOW} | {WINDOW}):
                     literals = np.concatenate([[0], np.cumsum(tokens.literal)])
                     hashes = run_hashes(tokens.hashes, size)
@@ -156,15 +234,8 @@ def template_windows(sizes: list[int] | None, wanted=None):
                         tokens.fillers[p : p + size][~tokens.literal[p : p + size]].view(np.int64).tolist() for p in place
                     ]
                     all_windows = np.maximum(counts[text] - size + 1, 1)
-                    yield pa.record_batch(
-                        [
-                            pa.array(hashes[place].view(np.int64)),
-                            ids.take(pa.array(text)),
-                            pa.array((place - tokens.bounds[text]).astype(np.int32)),
-                            pa.array(all_windows.astype(np.int32)),
-                            pa.array(slots, pa.list_(pa.int64())),
-                        ],
-                        ["h", "id", "place", "n_windows", "slots"],
+                    yield window_rows(
+                        hashes[place], ids.take(pa.array(text)), place - tokens.bounds[text], all_windows, slots
                     )
 
     return find
@@ -177,29 +248,42 @@ def with_id(df: DataFrame, key: str) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id") -> DataFrame:
     """(doc, item, matched, usable, share, reparameterised) per contaminated document and item.
 
-    ``matched`` of the item's ``usable`` windows stand in the document;
+    ``matched`` of the item's ``usable`` windows stand in the document, all of them if it
+    holds the whole item, which is the one window of an item without templates;
     ``reparameterised`` tells that a slot has another value there.
     """
     small_batches(docs.sparkSession)
     items = stage(with_id(benchmark, item_key).mapInArrow(template_windows(None), WINDOWS), "items")
     wanted = bit_set(items, "h", LOG_BITS)
-    found = with_id(docs, doc_key).mapInArrow(template_windows(list(range(LITERALS, WINDOW + 1)), wanted), WINDOWS)
-    usable = items.groupBy(F.col("id").alias("own")).agg(F.countDistinct("place").alias("usable"))
-    items = items.select("h", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    # As many as the items have different numbers of words.
+    item_sizes = [row.n_windows for row in items.filter(F.col("place") == WHOLE).select("n_windows").distinct().collect()]
+    documents_windows = template_windows(list(range(LITERALS, WINDOW + 1)), wanted, sorted(item_sizes))
+    found = with_id(docs, doc_key).mapInArrow(documents_windows, WINDOWS)
+    windows = F.countDistinct(F.when(F.col("place") >= 0, F.col("place")))
+    usable = items.groupBy(F.col("id").alias("own")).agg(F.greatest(windows, F.lit(1)).alias("usable"))
+    items = items.filter(F.col("place") != ANCHOR).select("h", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     met = found.select("h", F.col("id").alias("doc"), "place", "slots").join(items, "h")
     met = met.filter(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("given"))
-    aligned = met.groupBy("doc", "item", (F.col("place") - F.col("item_place")).alias("shift")).agg(
+    # A whole item is an alignment of its own.
+    shift = F.when(F.col("item_place") >= 0, F.col("place") - F.col("item_place"))
+    aligned = met.groupBy("doc", "item", shift.alias("shift")).agg(
         F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     # Bounded by the item: an alignment has each of its windows once.
     asked = F.array_distinct(F.transform("pairs", lambda pair: pair["asked"]))
     aligned = aligned.filter(F.size("pairs") == F.size(asked))
     other = F.exists("pairs", lambda pair: pair["asked"] != pair["given"])
-    whole = aligned.withColumn("other", other).groupBy("doc", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.max("other").alias("reparameterised")
+    copied = F.array_contains("places", WHOLE)
+    places = F.when(~copied, F.col("places"))
+    whole = aligned.withColumns({"other": other, "copied": copied, "places": places}).groupBy("doc", "item").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"),
+        F.max("other").alias("reparameterised"),
+        F.max("copied").alias("copied"),
     )
-    result = whole.join(usable, F.col("item").eqNullSafe(F.col("own"))).filter(F.col("matched") >= F.least(F.lit(NEEDED), F.col("usable")))
+    result = whole.join(usable, F.col("item").eqNullSafe(F.col("own")))
+    result = result.withColumn("matched", F.when(F.col("copied"), F.col("usable")).otherwise(F.col("matched")))
+    result = result.filter(F.col("matched") >= F.least(F.lit(NEEDED), F.col("usable")))
     return result.select(
         F.col("doc").alias(doc_key),
         F.col("item").alias(item_key),
