@@ -1,20 +1,13 @@
 import sys
-from contextlib import contextmanager
-from datetime import datetime
-from decimal import Decimal
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
-from tillroll.session import local_session  # noqa: E402
-
-RAW = (
-    "invoice string, stock_code string, description string, quantity int, "
-    "invoice_date timestamp_ntz, price decimal(10,2), customer_id int, country string"
-)
+from frames import RAW, settings  # noqa: E402
 
+from tillroll.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -28,23 +21,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@contextmanager
-def settings(spark, **values):
-    """Set options for a block; underscores stand for dots."""
-    names = {key.replace("__", "."): value for key, value in values.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 @pytest.fixture
 def sliced(spark):
     """Several slices, however small the data."""
@@ -52,28 +28,6 @@ def sliced(spark):
         yield
 
 
-def line(
-    invoice="536365",
-    stock_code="85123",
-    description="white heart",
-    quantity=1,
-    when="2010-12-01 08:26:00",
-    price="2.55",
-    customer_id=1,
-    country="France",
-):
-    return (
-        invoice,
-        stock_code,
-        description,
-        quantity,
-        when and datetime.fromisoformat(when),
-        price and Decimal(price),
-        customer_id,
-        country,
-    )
-
-
 @pytest.fixture
 def raw_frame(spark):
     return lambda *lines: spark.createDataFrame(list(lines), RAW)

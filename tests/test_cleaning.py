@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import line
+from frames import line
 
 from tillroll.functions.columns import strip_whitespace
 from tillroll.operators import cleaning

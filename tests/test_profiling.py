@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import line
+from frames import line
 from pyspark.sql import functions as F
 
 from tillroll.operators import profiling, sampling

@@ -1,7 +1,7 @@
 """Plans that have to hold when one key is a third of the table and nothing is small."""
 
 import pytest
-from conftest import settings
+from frames import settings
 from pyspark.sql import functions as F
 
 from tillroll.operators import cleaning, distributions, profiling, trends

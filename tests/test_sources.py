@@ -3,7 +3,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import line
+from frames import line
 
 from tillroll.operators.cleaning import add_calendar, add_revenue
 from tillroll.plans.cleaning import clean_transactions

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import line
+from frames import line
 
 from tillroll.operators import trends
 from tillroll.operators.cleaning import add_calendar, add_revenue
