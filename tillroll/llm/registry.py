@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
     chat,
     decontamination,
+    fill_middle,
     fingerprints,
     language,
     licenses,
     mixing,
     ngram_join,
+    packing,
+    prefix_trie,
     sentences,
     toxicity,
     urls,
@@ -64,6 +68,19 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similarity_components(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_digests(table(spark, folder, "documents"), tokenizer)
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -77,9 +94,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_urls,
         op9_fingerprints,
         op10_ngram_join,
+        op11_prefix_trie,
+        op12_packing,
+        op13_fill_middle,
     )
 }
 
 #: The trained and randomised operators have no SQL; the others are tested against brute
 #: force, as all-pairs joins of shingles and runs are too slow in SQL on whole tables.
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {"op11_prefix_trie": prefix_trie.SQL, "op13_fill_middle": fill_middle.SQL}
