@@ -14,16 +14,20 @@ The random place of a row is its number in the task that tokenizes it, so copies
 document, or rows of one key, meet in a group no more often than others. The pieces are
 written before they are dealt out; a lost executor changes no place. A task holds one group.
 
-Tokens come from a public vocabulary whose words never cross ASCII blanks: each distinct
-word of a piece is tokenized once, and known by a 64-bit hash that ignores the case of A-Z,
-as this vocabulary does. A null text counts as empty and is the end token alone. Equal rows
-are documents of their own; nothing goes by the key.
+Tokens come from a public vocabulary that ignores case and whose words cross neither ASCII
+blanks nor a border between ASCII letters or digits and punctuation other than the
+apostrophe. So each distinct word between such borders is tokenized once and remembered by
+a 64-bit hash that ignores the case of A-Z; tests compare the ids with those of whole texts.
+A null text counts as empty and is the end token alone. Equal rows are documents of their
+own; nothing goes by the key.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.batches import small_batches
 from tillroll.llm.passing import type_list
-from tillroll.llm.text import Words, joined, pieces, words_of
+from tillroll.llm.text import NOT_BLANK, Words, joined, pieces, range_hashes
 from tillroll.staging import stage
 
 CAPACITY = 4096
@@ -42,14 +46,49 @@ END_TOKEN = 2
 GROUP_TOKENS = 1 << 20
 #: Room in a sequence that is worth a cut.
 LEAST_PIECE = 32
-#: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 1 << 17
+#: Cells of a worker's memory of words, and words before it starts anew.
+LOG_CELLS = 21
+REMEMBERED = 1 << 21
+
+
+OTHER, ALNUM, PUNCT = 1, 2, 3
+#: Class of every byte, 0 for blanks.
+KIND = NOT_BLANK.astype(np.uint8) * OTHER
+KIND[[c for c in range(128) if chr(c).isalnum()]] = ALNUM
+KIND[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = PUNCT
+
+
+def units(data: np.ndarray, bounds: np.ndarray) -> Words:
+    """Words of a piece, cut also between ASCII letters or digits and punctuation."""
+    kind = KIND[data]
+    left, right = kind[:-1], kind[1:]
+    # The border after each byte; a piece ends with a blank.
+    cut = ((left == ALNUM) & (right == PUNCT)) | ((left == PUNCT) & (right == ALNUM))
+    start = np.flatnonzero(right * (cut | (left == 0))) + 1
+    if kind[0]:
+        start = np.append(0, start)
+    end = np.flatnonzero(left * (cut | (right == 0))) + 1
+    return Words(start, end, range_hashes(data, start, end), np.searchsorted(start, bounds))
+
+
+def extended(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``values`` with ``more`` after the first ``used``; room doubles."""
+    if used + len(more) > len(values):
+        values = np.concatenate([values[:used], np.empty(used + 2 * len(more), values.dtype)])
+    values[used : used + len(more)] = more
+    return values
 
 
 class WordIds:
-    """Token ids of words, remembered by hash. Slot 0 is the end token."""
+    """Token ids of words, remembered by hash. Slot 0 is the end token.
+
+    The memory has a cell per value of the first bits of a hash; a new word takes the
+    cell of an older one, and both are tokenized again where they are next met.
+    """
 
     def __init__(self, path: str, end_token: int) -> None:
+        # Spark runs a worker per core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -57,32 +96,45 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.hashes = np.zeros(1 << LOG_CELLS, np.uint64)
+        self.slot_of = np.full(1 << LOG_CELLS, -1, np.int32)
         self.ids = np.array([self.end_token], np.uint32)
-        self.bounds = np.array([0, 1])
+        # Where the ids of a slot start, and those of the next.
+        self.starts = np.array([0, 1])
+        self.slots_used = 1
+
+    def learn(self, texts: list[str]) -> None:
+        made = [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(made), np.uint32)
+        known = self.starts[self.slots_used]
+        ends = known + np.cumsum(np.fromiter(map(len, made), np.int64, len(made)))
+        self.ids = extended(self.ids, known, ids)
+        self.starts = extended(self.starts, self.slots_used + 1, ends)
+        self.slots_used += len(texts)
 
     def slots(self, data: np.ndarray, words: Words) -> np.ndarray:
         """Slot of every word; words not yet known are tokenized."""
-        hashes, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        if self.slots_used > REMEMBERED:
             self.forget()
-        keys = hashes.tolist()
-        unknown = [i for i, key in enumerate(keys) if key not in self.known]
-        if unknown:
-            at = first[unknown]
-            texts = [data[a:b].tobytes().decode() for a, b in zip(words.start[at], words.end[at])]
-            made = [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            self.known |= {keys[i]: len(self.bounds) - 1 + k for k, i in enumerate(unknown)}
-            self.ids = np.concatenate([self.ids, *[np.array(ids, np.uint32) for ids in made]])
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([len(ids) for ids in made])])
-        return np.array([self.known[key] for key in keys], np.int64)[inverse]
+        cell = (words.hashes >> np.uint64(64 - LOG_CELLS)).astype(np.int64)
+        slot = np.where(self.hashes[cell] == words.hashes, self.slot_of[cell], -1).astype(np.int64)
+        unknown = np.flatnonzero(slot < 0)
+        if len(unknown):
+            _, first, same = np.unique(words.hashes[unknown], return_index=True, return_inverse=True)
+            at = unknown[first]
+            new = self.slots_used + np.arange(len(at))
+            self.learn([data[a:b].tobytes().decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
+            slot[unknown] = new[same]
+            self.hashes[cell[at]], self.slot_of[cell[at]] = words.hashes[at], new
+        return slot
 
     def token_ids(self, data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each with its end token, and tokens per text."""
-        slots = np.insert(self.slots(data, words) if len(words.hashes) else np.empty(0, np.int64), words.bounds[1:], 0)
-        sizes = self.bounds[slots + 1] - self.bounds[slots]
+        slots = np.insert(self.slots(data, words), words.bounds[1:], 0)
+        starts = self.starts[slots]
+        sizes = self.starts[slots + 1] - starts
         ends = np.cumsum(sizes)
-        at = np.arange(ends[-1]) + np.repeat(self.bounds[slots] - (ends - sizes), sizes)
+        at = np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
         last = words.bounds[1:] + np.arange(len(words.bounds) - 1)
         return self.ids[at], np.diff(ends[last], prepend=0)
 
@@ -108,7 +160,7 @@ def token_pieces(rows: DataFrame, path: str, capacity: int, end_token: int) -> D
         for batch in batches:
             for piece in pieces(batch):
                 data, bounds = joined(piece.column("text"))
-                ids, n = known.token_ids(data, words_of(data, bounds))
+                ids, n = known.token_ids(data, units(data, bounds))
                 n_pieces = -(-n // capacity)
                 row = np.repeat(np.arange(len(n)), n_pieces)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)) * capacity
