@@ -43,12 +43,14 @@ from tillroll.staging import stage
 CAPACITY = 4096
 END_TOKEN = 2
 #: Tokens in a group; a group is what one task holds.
-GROUP_TOKENS = 1 << 20
+GROUP_TOKENS = 1 << 19
 #: Room in a sequence that is worth a cut.
 LEAST_PIECE = 32
 #: Cells of a worker's memory of words, and words before it starts anew.
-LOG_CELLS = 21
-REMEMBERED = 1 << 21
+LOG_CELLS = 20
+REMEMBERED = 1 << 20
+#: Words that are tokenized at once.
+AT_ONCE = 1 << 11
 
 
 OTHER, ALNUM, PUNCT = 1, 2, 3
@@ -104,7 +106,10 @@ class WordIds:
         self.slots_used = 1
 
     def learn(self, texts: list[str]) -> None:
-        made = [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        made: list[list[int]] = []
+        for at in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+            made += [word.ids for word in found]
         ids = np.fromiter(chain.from_iterable(made), np.uint32)
         known = self.starts[self.slots_used]
         ends = known + np.cumsum(np.fromiter(map(len, made), np.int64, len(made)))
