@@ -154,13 +154,15 @@ PIECES = "start long, length long, doc_tokens long, ids binary, seat long"
 
 
 def token_pieces(rows: DataFrame, path: str, capacity: int, end_token: int) -> DataFrame:
-    """Whole stretches and the rest of every row (_kept, text), with ids as 32-bit integers.
+    """Whole stretches and the rest of every row (_kept, text); ``seat`` numbers all pieces.
 
-    ``seat`` numbers all pieces.
+    The ids of a whole stretch are 32-bit integers. Those of a rest, which is dealt out yet,
+    take 16 bits each if the vocabulary allows.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(path, end_token)
+        narrow = np.uint16 if max(known.tokenizer.get_vocab_size(), end_token + 1) <= 1 << 16 else np.uint32
         seat = TaskContext.get().partitionId() << 33
         for batch in batches:
             for piece in pieces(batch):
@@ -170,15 +172,16 @@ def token_pieces(rows: DataFrame, path: str, capacity: int, end_token: int) -> D
                 row = np.repeat(np.arange(len(n)), n_pieces)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)) * capacity
                 length = np.minimum(n[row] - start, capacity)
-                offsets = np.concatenate([[0], np.cumsum(length) * 4]).astype(np.int32)
-                packed = pa.Array.from_buffers(
-                    pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))]
-                )
+                ends = np.cumsum(length)
+                packed = [
+                    ids[a:b].astype(narrow if b - a < capacity else np.uint32).tobytes()
+                    for a, b in zip((ends - length).tolist(), ends.tolist())
+                ]
                 yield pa.record_batch(
                     [
                         piece.column("_kept").take(pa.array(row)),
                         *[pa.array(values) for values in (start, length, n[row])],
-                        packed,
+                        pa.array(packed, pa.binary()),
                         pa.array(seat + np.arange(len(row))),
                     ],
                     ["_kept", "start", "length", "doc_tokens", "ids", "seat"],
@@ -287,16 +290,22 @@ def pack_groups(capacity: int, least_piece: int):
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_of(batches, "group"):
-            starts, ids = table.column("start").to_numpy(), table.column("ids").to_pylist()
-            group = table.column("group")[0].as_py()
-            made = pack(table.column("length").to_pylist(), capacity, least_piece)
+            starts, group = table.column("start").to_numpy(), table.column("group")[0].as_py()
+            lengths = table.column("length").to_pylist()
+            made = pack(lengths, capacity, least_piece)
+            ids = [
+                np.frombuffer(data, np.uint16 if len(data) == 2 * n else np.uint32)
+                for data, n in zip(table.column("ids").to_pylist(), lengths)
+            ]
             of_bin = np.repeat(np.arange(len(made)), [len(pieces) for pieces in made])
             item, start, length = np.array([piece for pieces in made for piece in pieces], np.int64).T
             before = np.cumsum(length) - length
             first = np.concatenate([[True], of_bin[1:] != of_bin[:-1]])
             offset = before - np.maximum.accumulate(np.where(first, before, 0))
             rows = table.select(["_kept", "doc_tokens"]).take(pa.array(item)).combine_chunks()
-            cut = [ids[i][4 * a : 4 * (a + n)] for i, a, n in zip(item.tolist(), start.tolist(), length.tolist())]
+            cut = [
+                ids[i][a : a + n].astype(np.uint32).tobytes() for i, a, n in zip(item.tolist(), start.tolist(), length.tolist())
+            ]
             yield pa.record_batch(
                 [
                     *[rows.column(name).combine_chunks() for name in rows.column_names],
