@@ -270,9 +270,10 @@ def light_totals(nodes: pa.Table) -> pa.RecordBatch:
 
 def chain_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Totals of all chains (conv_id, parent_conv_id, top, leaves, saved), about one per shard, added to their parents."""
-    chains = pa.Table.from_batches(list(batches))
-    if not len(chains):
+    held = [batch for batch in batches if len(batch)]
+    if not held:
         return
+    chains = pa.Table.from_batches(held)
     column = {name: chains.column(name).fill_null(-1).to_numpy() for name in chains.column_names}
     nothing = np.zeros(len(chains), np.int64)
     table = NodeTable(column["conv_id"], nothing)
