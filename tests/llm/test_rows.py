@@ -22,10 +22,15 @@ def middle(spark):
 
 def test_language_of_held_out_documents(spark, middle):
     model = language.learn_from_documents(middle)
-    extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 ?! 34"), (-4, "Русский текст")], "doc_id long, text string")
+    texts = [None, "", "12 ?! 34", "\u0301\u0301 \u0302", "Русский текст", "漢字", "the river and the house Ω", "\u0301ñ"]
+    extra = spark.createDataFrame([(-i, text) for i, text in enumerate(texts, 1)], "doc_id long, text string")
     rows = middle.select("doc_id", "text").union(extra)
     found = {row.doc_id: row for row in language.predict(rows, model, ["doc_id"]).collect()}
     assert all((found[i].lang_pred, found[i].score, found[i].spans) == ("und", 0.0, []) for i in (-1, -2, -3, -4))
+    # Only a text without a letter is unknown; an unknown script beside others is no evidence.
+    assert all(found[i].lang_pred in model.languages and 0 < found[i].score <= 0.25 for i in (-5, -6))
+    assert found[-7].lang_pred == "en" and found[-8].lang_pred in model.languages
+    assert [(span.start, span.stop) for span in found[-8].spans] == [(1, 2)]
     held_out = middle.filter(language.is_held_out()).collect()
     right = [found[row.doc_id].lang_pred == row.lang for row in held_out]
     assert sum(right) / len(right) > 0.98 and all(0 <= row.score <= 1 for row in found.values())
@@ -59,6 +64,17 @@ def test_only_texts_without_letters_leave_the_pipeline(documents):
     assert [row.text for row in unlabelled.collect()] == ["some text"]
 
 
+def test_the_language_stage_writes_what_it_predicts(middle):
+    wrong = middle.withColumn("lang", F.when(language.fold() == language.HELD_OUT, "xx").otherwise(F.col("lang")))
+    kept = language.keep_identified(wrong.withColumn("_other", F.lit(1)))
+    assert kept.columns == [*middle.columns, "_other"]
+    truth = {row.doc_id: row.lang for row in middle.select("doc_id", "lang").collect()}
+    found = [row.lang == truth[row.doc_id] for row in kept.filter(language.is_held_out()).collect()]
+    assert sum(found) / len(found) > 0.98
+    predicted = {row.doc_id: row.lang_pred for row in language.identify(wrong).collect()}
+    assert {row.doc_id: row.lang for row in kept.collect()} == {i: lang for i, lang in predicted.items() if lang != "und"}
+
+
 def test_toxicity_of_held_out_documents_and_of_hidden_insults(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
@@ -153,7 +169,8 @@ def test_urls(spark):
         ("https://WWW.a.net/x?y#z", "www.a.net", "/x", "net/", "block"),
         ("http://b.example.net/en/1", "b.example.net", "/en/1", "example.net/en/", "allow"),
         ("http://example.com/de/", "example.com", "/de/", "example.com/de/", "block"),
-        ("http://x.org/french", "x.org", "/french", "org/fr", "allow"),
+        ("http://x.org/fr/a", "x.org", "/fr/a", "org/fr/", "allow"),
+        ("http://x.org/french", "x.org", "/french", None, "allow"),
         ("http://q.net", "q.net", "", None, "allow"),
         ("http://r.net?u=://b.org/fr", "r.net", "", None, "allow"),
         ("http://notnet/x", "notnet", "/x", None, "allow"),

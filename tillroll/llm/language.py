@@ -9,10 +9,12 @@ by name; its score is the share of those letters times the odds against the next
 
 Learning counts n-grams in a sample of at most about ``DOCS_PER_LANGUAGE`` labelled
 documents per language, chosen by a hash of the id; a model has one fixed-size table per
-language. Null texts, and texts without a letter, are ``und`` with score 0 and no spans;
-so is every text if there is nothing to learn from, and a text in a script that no learned
-language has for ``SCRIPT_SHARE`` of its words. The stage of the pipeline
-(``keep_identified``) drops only the texts without a letter.
+language. A script that no learned language has for ``SCRIPT_SHARE`` of its words narrows
+nothing: its words decide nothing beside others, and in a text without others all languages
+compete by their n-grams, ties by name, for a score of at most one over their number.
+Null texts, and texts without a letter, are ``und`` with score 0 and no spans; so is every
+text if there is nothing to learn from. The stage of the pipeline (``keep_identified``)
+drops the texts without a letter and puts the predicted language of the others into ``lang``.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.batches import small_batches
 from tillroll.llm.learning import HELD_OUT, bounded_sample, code_points, fold, is_held_out, letters
-from tillroll.llm.text import mix, pieces
+from tillroll.llm.text import mix, pieces, runs
 from tillroll.llm.vectors import add_up, packed
 
 DOCS_PER_LANGUAGE = 3000
@@ -113,12 +115,14 @@ class WordGrams:
 def word_grams(texts: list[str]) -> WordGrams:
     points, bounds = code_points(texts)
     kind = letters()[points]
-    inside = kind > 0
-    # A mark alone is no word: words start at a letter.
-    before = np.concatenate([[False], inside[:-1]])
-    inside &= (kind == 1) | before
-    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
-    start, end = edges[::2], edges[1::2]
+    start, end = runs(kind > 0)
+    # Words start at a letter: marks before it, or without one, are in no word.
+    is_letter = np.append(np.flatnonzero(kind == 1), len(kind))
+    start = is_letter[np.searchsorted(is_letter, start)]
+    start, end = start[start < end], end[start < end]
+    inside = np.zeros(len(kind) + 1, np.int8)
+    inside[start], inside[end] = 1, -1
+    inside = np.cumsum(inside[:-1]) > 0
     here = np.where(inside, points, 0).astype(np.uint64)
     one_back = np.concatenate([[0], here[:-1]]).astype(np.uint64)
     two_back = np.where(one_back > 0, np.concatenate([[0, 0], here[:-2]])[: len(here)], 0).astype(np.uint64)
@@ -172,15 +176,16 @@ def learn(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> La
     return LanguageModel(languages, np.concatenate(scores).astype(np.float32), allowed)
 
 
-def word_scores(model: LanguageModel, grams: WordGrams) -> np.ndarray:
-    """Log-likelihood per word and language; a script that no language has decides nothing."""
+def word_scores(model: LanguageModel, grams: WordGrams, decides: np.ndarray) -> np.ndarray:
+    """Log-likelihood per word and language; words that do not decide have 0 for all."""
     if not len(grams.start):
         return np.zeros((0, len(model.languages)), np.float32)
     each = model.scores[grams.bigrams] + model.scores[grams.trigrams + TABLE]
     scores = np.add.reduceat(each, grams.first_gram, axis=0)
     allowed = model.allowed[grams.script]
+    allowed |= ~allowed.any(axis=1, keepdims=True)
     scores = np.where(allowed, scores, scores.min(axis=1, keepdims=True) - 3 * SWITCH_PENALTY)
-    scores[~allowed.any(axis=1)] = 0
+    scores[~decides] = 0
     return scores
 
 
@@ -258,15 +263,17 @@ def labelled_texts(model: LanguageModel, texts: list[str]) -> list[tuple[str, fl
     grams = word_grams(texts)
     if not model.languages:
         return [(UNKNOWN, 0.0, []) for _ in texts]
-    scores = word_scores(model, grams)
+    known = model.allowed[grams.script].any(axis=1)
+    # Scripts that no language knows are no evidence, unless a text has nothing else.
+    counts = np.diff(grams.bounds)
+    known_words = np.diff(np.append(0, np.cumsum(known))[grams.bounds])
+    scores = word_scores(model, grams, known | np.repeat(known_words == 0, counts))
     path = viterbi(scores, grams.bounds)
     lengths = grams.end - grams.start
-    # Scripts that no language knows are no evidence.
-    known = model.allowed[grams.script].any(axis=1)
     text_starts = np.concatenate([[0], np.cumsum([len(text) + 1 for text in texts])])
     out = []
     for i, (first, last) in enumerate(zip(grams.bounds[:-1], grams.bounds[1:])):
-        if first == last or not known[first:last].any():
+        if first == last:
             out.append((UNKNOWN, 0.0, []))
             continue
         own, size = path[first:last], lengths[first:last]
@@ -284,7 +291,8 @@ def labelled_texts(model: LanguageModel, texts: list[str]) -> list[tuple[str, fl
             }
             for a, b in zip(cuts[:-1], cuts[1:])
         ]
-        out.append((model.languages[best], float(share[best] / size.sum() * odds), spans))
+        most = 1.0 if known_words[i] else 1.0 / len(model.languages)
+        out.append((model.languages[best], float(most * share[best] / size.sum() * odds), spans))
     return out
 
 
@@ -304,21 +312,28 @@ def has_letter(text: str) -> bool:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``documents`` with a letter: null texts and texts without any letter go.
+    """``documents`` with a letter, and their predicted language as ``lang``.
 
-    A text with letters stays also if no learned language has its script, or if there was
-    nothing to learn from, where ``identify`` labels it ``und``.
+    Null texts and texts without any letter go. If there was nothing to learn from, ``lang``
+    stays as it is. Only the texts go to Python; the rows stay in the JVM.
     """
+    small_batches(docs.sparkSession)
     model = learn_from_documents(docs)
     shared_model = docs.sparkSession.sparkContext.broadcast(model)  # one fixed-size table per language
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = []
-            for piece in pieces(batch.select(["text"])):
-                texts = lowered(piece)
-                found = labelled_texts(shared_model.value, texts)
-                known += [label != UNKNOWN or has_letter(text) for text, (label, _, _) in zip(texts, found)]
-            yield batch.filter(pa.array(known, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    @F.arrow_udf("string")
+    def language_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found: list[str | None] = []
+            for piece in pieces(pa.record_batch([texts], ["text"])):
+                own = lowered(piece)
+                labels = [label for label, _, _ in labelled_texts(shared_model.value, own)]
+                # Without a model nothing is predicted for a text with letters.
+                found += [None if label == UNKNOWN and has_letter(text) else label for text, label in zip(own, labels)]
+            yield pa.array(found, pa.string())
+
+    # Not deterministic to the planner, or it would label each text for the filter and again for the column.
+    predicted = docs.withColumn("_predicted", language_of.asNondeterministic()("text"))
+    kept = predicted.filter(F.coalesce(F.col("_predicted") != UNKNOWN, F.lit(True)))
+    columns = [F.coalesce("_predicted", "lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns)

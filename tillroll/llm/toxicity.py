@@ -252,7 +252,11 @@ def fit_curve(decision: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tu
 def learn(labelled: DataFrame, docs_per_class: int = DOCS_PER_CLASS) -> ToxicityModel:
     """Model of the rows (key, text, toxic), toxic being 0 or 1; other rows teach nothing."""
     known = labelled.filter("toxic IN (0, 1) AND text IS NOT NULL").select("key", "text", "toxic")
-    sample, shares = bounded_sample(known, "toxic", "key", docs_per_class)
+    return learn_from_sample(*bounded_sample(known, "toxic", "key", docs_per_class))
+
+
+def learn_from_sample(sample: DataFrame, shares: dict[int, float]) -> ToxicityModel:
+    """Model of sampled rows (key, text, toxic) that are a known share of each class."""
     sample = stage(sample, "labelled")
     scale = {value: 1 / share for value, share in shares.items()}
 
@@ -386,15 +390,18 @@ def score(docs: DataFrame, model: ToxicityModel, columns: list[str], text: str =
     return scored.select(*columns, "score", toxic.cast("int").alias("predicted"), F.when(toxic, F.col("sentence")).alias("sentence"))
 
 
-def learn_from_labels(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+def learn_from_labels(docs: DataFrame, labels: DataFrame, docs_per_class: int = DOCS_PER_CLASS) -> ToxicityModel:
     """Model of the labelled documents outside the held-out fold.
 
     A document with several labels is toxic if one of them is. Labels are sampled before
-    they meet the texts, so the join has a bounded side.
+    they meet the texts: no more than about two ``docs_per_class`` ids and their texts do.
     """
     labels = labels.filter(fold() != HELD_OUT).filter("toxic IN (0, 1)")
-    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return learn(docs.select("doc_id", "text").join(labels, "doc_id").select(F.col("doc_id").alias("key"), "text", "toxic"))
+    labels = stage(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
+    sample, shares = bounded_sample(labels, "toxic", "doc_id", docs_per_class)
+    # The sample has a bound, so it can be sent to the texts.
+    met = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(sample), "doc_id")
+    return learn_from_sample(met.select(F.col("doc_id").alias("key"), "text", "toxic"), shares)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

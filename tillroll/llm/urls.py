@@ -35,7 +35,7 @@ LISTED = [
     ("block", "net", "/"),
     ("allow", "example.net", "/en/"),
     ("block", "example.com", "/de/"),
-    ("allow", "org", "/fr"),
+    ("allow", "org", "/fr/"),
 ]
 BLOCK, ALLOW = "block", "allow"
 LEAST_SUPPORT = 0.005
