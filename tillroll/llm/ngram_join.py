@@ -117,6 +117,8 @@ def filtered(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs that pass the suffix filter by the (id, n, slices) of their documents."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     likely, _ = likely_and_others(sizes.filter("n > 0").select("id", "n", "slices"), ids, "id")
+    # Staged, so no task runs two Python workers, one for the ids and one for the pairs.
+    likely = stage(likely, "likely")
     left = likely.toDF("a", "n_a", "slices_a")
     right = likely.toDF("b", "n_b", "slices_b")
     return pairs.join(left, "a").join(right, "b").mapInArrow(suffix_filter, "a long, b long").distinct()
