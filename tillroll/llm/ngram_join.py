@@ -12,8 +12,8 @@ differ from their texts only with a chance of about n*n / 2**64.
    the prefixes. Of n shingles the first n - ceil(0.8 n) + 1 are indexed: two documents
    that link share one of them.
 3. Documents that share an indexed shingle and pass the length and positional filters
-   are candidates. First, each is compared with the smallest document of its shingle
-   only, and the links give components. Then all remaining candidate pairs between
+   are candidates. First, each is compared with one document of its shingle only, the one
+   that shares most indexed shingles with others, and the links give components. Then all remaining candidate pairs between
    different components are compared. A pair inside a component needs no second look,
    so a group of thousands of near copies costs about one comparison each, and no link
    between components is lost.
@@ -299,8 +299,10 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     index = rows.mapInArrow(prefixes(sketch), "shingle long, id long, n int, place int")
     often = stage(index.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(shared, index.schema), "index")
     own_class = members.select("id", "class", F.col("n").cast("int").alias("n")).distinct()
+    # The original of a group of edited copies has all its shingles in common with others.
+    degrees = often.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
     index = stage(
-        often.join(own_class, ["id", "n"]).select("shingle", F.col("class").alias("id"), "n", "place"),
+        often.join(own_class.join(degrees, "id"), ["id", "n"]).select("shingle", F.col("class").alias("id"), "n", "place", "degree"),
         "index",
     )
 
@@ -315,8 +317,8 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
                 "component", F.coalesce("component", "id")
             )
         )
-        met = placed.select("shingle", "id", "n", "place", "component").repartition("shingle")
-        pairs = met.sortWithinPartitions("shingle", "id").mapInArrow(candidate_pairs(every), "a long, b long")
+        met = placed.select("shingle", "id", "n", "place", "component", "degree").repartition("shingle")
+        pairs = met.sortWithinPartitions("shingle", F.desc("degree"), "id").mapInArrow(candidate_pairs(every), "a long, b long")
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
