@@ -3,7 +3,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from frames import line
+from frames import line, settings
 
 from tillroll.operators.cleaning import add_calendar, add_revenue
 from tillroll.plans.cleaning import clean_transactions
@@ -12,6 +12,7 @@ from tillroll.sources.names import clean_column_name, clean_column_names, identi
 from tillroll.sources.schemas import (
     FEATURE_COLUMNS,
     PROCESSED_TRANSACTIONS,
+    RAW_TRANSACTIONS,
     SUBSCRIBER_CONTRACTS,
     TRANSACTIONS,
     DatasetContract,
@@ -67,6 +68,52 @@ def test_malformed_rows_fail(spark, tmp_path, bad):
         files.read_raw_transactions(spark, str(path)).collect()
 
 
+@pytest.fixture
+def dirty_folder(spark, tmp_path):
+    """Three files that are read in many blocks; the bad lines of each."""
+    good = '489434,85048,"15CM ""GLASS"", BALL",12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom\n'
+    bad = {
+        7: ("1,2,3,many,2009-12-01 07:45:00,1.0,1.0,UK\n", "Quantity"),
+        11: ("1,2,3,4,someday,1.0,x,UK\n", "InvoiceDate,Customer ID"),
+        20: ("1,2,3\n", "number of columns"),
+        23: ("1,2,3,4,2009-12-01 07:45:00,1.0,1.0,UK,9,9\n", "number of columns"),
+        29: ('1,2,"a""b,c",99999999999,2009-12-01 07:45:00,1.0,1.0,UK\n', "Quantity"),
+    }
+    expected = []
+    for i in range(3):
+        lines = [HEADER, *[good] * 40]
+        lines[35] = "\n"
+        for line, (text, problem) in bad.items() if i else []:
+            lines[line + i] = text
+            expected.append((f"f{i}.csv", line + i + 1, text.rstrip("\n"), problem))
+        (tmp_path / f"f{i}.csv").write_text("".join(lines))
+    with settings(spark, spark__sql__files__maxPartitionBytes="300", spark__sql__files__openCostInBytes="100"):
+        yield tmp_path, expected
+
+
+def test_bad_rows_have_file_and_line(spark, dirty_folder):
+    path, expected = dirty_folder
+    found = files.bad_rows(spark, str(path), RAW_TRANSACTIONS).collect()
+    assert sorted((row.file.split("/")[-1], row.line, row.record, row.problem) for row in found) == sorted(expected)
+    whole = files.bad_rows(spark, str(path), RAW_TRANSACTIONS, multi_line=True).collect()
+    assert sorted((row.file.split("/")[-1], row.record, row.problem) for row in whole) == sorted((e[0], *e[2:]) for e in expected)
+
+
+def test_a_tier_is_complete_or_not_there(spark, dirty_folder, tmp_path_factory):
+    path, expected = dirty_folder
+    target = str(tmp_path_factory.mktemp("tiers") / "deep" / "raw")
+    with pytest.raises(files.MalformedRows, match=f"{len(expected)} malformed rows") as caught:
+        files.typed_tier(spark, str(path), target, RAW_TRANSACTIONS)
+    assert caught.value.rows.count() == len(expected) and not files.holds_data(spark, target)
+    assert files.typed_tier(spark, str(path / "f0.csv"), target, RAW_TRANSACTIONS).count() == 39
+    with pytest.raises(files.MalformedRows):
+        files.typed_tier(spark, str(path), target, RAW_TRANSACTIONS, force=True)
+    assert files.typed_tier(spark, str(path), target, RAW_TRANSACTIONS).count() == 39
+    # Also a query that asks for good columns only finds the bad number.
+    with pytest.raises(files.MalformedRows):
+        files.read_raw_transactions(spark, str(path)).select("country").collect()
+
+
 def test_other_header_fails(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(HEADER.replace("Quantity,InvoiceDate", "InvoiceDate,Quantity") + "1,2,3,4,5,6,7,8\n")

@@ -344,6 +344,19 @@ ORACLE_SQL: dict[str, str] = {
     "raw_csv": select(
         RAW, f"SELECT * REPLACE (CAST(customer_id AS DOUBLE) AS customer_id) FROM (SELECT {RAW_LIST} FROM raw)"
     ),
+    "bad_rows": select(
+        RAW,
+        """SELECT concat_ws(',', invoice, coalesce(stock_code, ''), coalesce(description, ''),
+    CAST(quantity AS VARCHAR) || CASE WHEN quantity % 17 = 3 THEN 'pcs' ELSE '' END,
+    CASE WHEN late THEN 'someday' ELSE CAST(invoice_date AS VARCHAR) END,
+    CAST(price AS VARCHAR), coalesce(CAST(customer_id AS VARCHAR), ''), country) AS record,
+  concat_ws(',', CASE WHEN quantity % 17 = 3 THEN 'Quantity' END, CASE WHEN late THEN 'InvoiceDate' END) AS problem
+FROM (SELECT *, stock_code = 'POST' AND quantity % 2 = 0 AS late FROM raw)
+WHERE quantity % 17 = 3 OR late""",
+    ),
+    "typed_tier": select(
+        RAW, f"SELECT * REPLACE (CAST(customer_id AS DOUBLE) AS customer_id) FROM (SELECT {RAW_LIST} FROM raw)"
+    ),
     "feature_csv": select(FEATURES, "SELECT * FROM features"),
     "csv_round_trip": select(CLEAN, f"SELECT {TX_LIST} FROM tx"),
     "table_load": select(CLEAN, f"SELECT {TX_LIST} FROM tx"),

@@ -99,6 +99,35 @@ def raw_csv(raw: DataFrame) -> DataFrame:
     return files.read_raw_transactions(spark, path)
 
 
+def dirty_csv(raw: DataFrame) -> str:
+    """Raw lines as a CSV in which some quantities and dates are no values of their types."""
+    text = {name: F.col(name).cast("string") for name in raw.columns}
+    text["quantity"] = F.when(F.col("quantity") % 17 == 3, F.concat(text["quantity"], F.lit("pcs"))).otherwise(text["quantity"])
+    late = (F.col("stock_code") == "POST") & (F.col("quantity") % 2 == 0)
+    text["invoice_date"] = F.when(late, F.lit("someday")).otherwise(text["invoice_date"])
+    path = new_path(raw.sparkSession, "dirty-csv")
+    files.write_csv(raw.select(*text.values()).toDF(*RAW_TRANSACTIONS.fieldNames()), path)
+    return path
+
+
+def bad_rows(raw: DataFrame) -> DataFrame:
+    """The malformed rows of a CSV, and the columns they are malformed in."""
+    return files.bad_rows(raw.sparkSession, dirty_csv(raw), RAW_TRANSACTIONS).select("record", "problem")
+
+
+def typed_tier(raw: DataFrame) -> DataFrame:
+    """Raw lines landed as a typed tier; a malformed file that comes later changes nothing."""
+    spark = raw.sparkSession
+    path, target = new_path(spark, "raw-csv"), new_path(spark, "tier")
+    files.write_csv(raw.toDF(*RAW_TRANSACTIONS.fieldNames()), path)
+    files.typed_tier(spark, path, target, RAW_TRANSACTIONS)
+    try:
+        files.typed_tier(spark, dirty_csv(raw), target, RAW_TRANSACTIONS, force=True)
+    except files.MalformedRows:
+        pass
+    return raw.sparkSession.read.parquet(target).toDF(*raw.columns)
+
+
 def feature_csv(features: DataFrame) -> DataFrame:
     """The features written as CSV with the key first, and read back."""
     spark = features.sparkSession
@@ -150,6 +179,8 @@ QUERIES: dict[str, Query] = {
     # Sources, sinks and contracts
     "landed_raw": on_raw(landed),
     "raw_csv": on_raw(raw_csv),
+    "bad_rows": on_raw(bad_rows),
+    "typed_tier": on_raw(typed_tier),
     "feature_csv": on_features(feature_csv),
     "csv_round_trip": on_clean(csv_round_trip),
     "table_load": on_clean(table_load),
