@@ -106,3 +106,19 @@ def test_density(sales, frame):
 def test_density_uses_the_sample_size(sales):
     few = distributions.density(sales, ["price"], n=50, points=5).toPandas()
     assert len(few) == 5 and isinstance(few, pd.DataFrame)
+
+
+def test_correlation_of_pairs_with_nulls_is_that_of_pandas(spark):
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({name: rng.integers(0, 30, 400).astype(float) for name in "abcd"})
+    frame["b"] += frame["a"]
+    for name, share in (("a", 0.3), ("b", 0.5), ("d", 0.1)):
+        frame.loc[rng.random(400) < share, name] = np.nan
+    frame["none"] = np.nan
+    frame["only"] = np.where(frame["a"].isna(), 1.0, np.nan)
+    rows = [tuple(None if np.isnan(x) else float(x) for x in row) for row in frame.to_numpy()]
+    df = spark.createDataFrame(rows, ", ".join(f"`{name}` double" for name in frame))
+    found = distributions.spearman(df).toPandas().set_index("column").loc[list(frame), list(frame)]
+    expected = frame.corr("spearman")
+    np.testing.assert_allclose(found.to_numpy(float), expected.to_numpy(), atol=1e-9)
+    assert distributions.spearman(df.limit(0)).toPandas().drop(columns="column").isna().all(axis=None)

@@ -135,6 +135,23 @@ def test_sample_has_exact_size_and_ignores_layout(spark):
     assert shares.min() > 0.25
 
 
-def test_sample_of_equal_rows(spark):
-    df = spark.range(1000).select(F.lit("same").alias("x"))
-    assert sampling.sample_rows(df, 300).count() == 300
+def test_sample_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BLOCK", 8)
+    df = spark.createDataFrame([(i % 100, None if i % 2 else "") for i in range(400)], "x int, t string")
+    for n in (150, 300):
+        taken = pd.Series([tuple(row) for row in sampling.sample_rows(df, n).collect()]).value_counts()
+        assert taken.sum() == n and taken.max() <= 4
+        # Copies are drawn for one by one, not as a group.
+        assert set(taken) - {4} and len(taken) > n // 4
+    hot = spark.createDataFrame([(1,)] * 900 + [(2,)] * 100, "x int")
+    taken = pd.Series([row.x for row in sampling.sample_rows(hot, 500).collect()]).value_counts()
+    assert taken.sum() == 500 and 20 < taken[2] < 80
+    assert sampling.sample_rows(hot, 0).count() == 0 and sampling.sample_rows(hot.limit(0), 5).count() == 0
+
+
+def test_sample_ends_inside_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "LEVEL", 1)
+    df = spark.range(3000).withColumn("text", F.lit("a|b"))
+    samples = [{row.id for row in sampling.sample_rows(df, n).collect()} for n in (1, 10, 999, 1000, 2999)]
+    assert [len(ids) for ids in samples] == [1, 10, 999, 1000, 2999]
+    assert all(small < large for small, large in zip(samples, samples[1:]))

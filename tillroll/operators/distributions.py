@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import and_
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import one_row_each, signed_log
@@ -160,37 +160,79 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, key: str = "year"
     )
 
 
+def present_masks(rows: DataFrame, columns: list[str]) -> list[int]:
+    """Which sets of columns have values in the same row: bit i stands for ``columns[i]``."""
+    return sorted(row[0] for row in rows.select(mask_of(columns).alias("mask")).distinct().collect())
+
+
+def mask_of(columns: list[str]) -> Column:
+    bits = [F.when(F.col(name).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, name in enumerate(columns)]
+    return reduce(add, bits)
+
+
 def spearman(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rank correlation of every pair of numeric columns, with average ranks for ties.
 
-    Ranks are found on distinct values and kept as twice the distance from the mean
-    rank, a whole number. Rows with a null in any of the columns are left out.
+    A pair goes by the rows in which both columns have a value, and ranks are those among
+    these rows. They come from one table, which counts the values of each column by the
+    other columns that are there too: for a pair, the counts with the other column are added
+    up. Pairs that leave a column the same rows share its ranks, so without nulls every
+    column is ranked once. A rank is kept as twice its distance from the mean rank, a whole
+    number. The driver sees which columns occur together.
     """
     columns = columns or numeric_columns(df)
-    present = reduce(and_, [F.col(name).isNotNull() for name in columns])
-    rows = df.filter(present).select(*[F.col(name).cast("double").alias(name) for name in columns])
-    ranked = running_total(value_counts(rows, columns), ["column"], ["value"], "n")
+    rows = stage(df.select(*[F.col(name).cast("double").alias(name) for name in columns]), "numbers")
+    masks = present_masks(rows, columns)
+
+    def shared(a: int, b: int) -> tuple[int, ...]:
+        """The masks of the rows that count for a pair."""
+        return tuple(mask for mask in masks if mask >> a & 1 and mask >> b & 1)
+
+    # Ranks of a column among the rows of some masks, under one number.
+    ranked = {pair: number for number, pair in enumerate(sorted({(a, shared(a, b)) for a in range(len(columns)) for b in range(len(columns))}))}
+    counts = stage(value_counts(rows.withColumn("mask", mask_of(columns)), columns, ["mask"]), "joint-counts")
+    asked = [
+        F.when((F.col("column") == columns[a]) & F.col("mask").isin(*among), F.lit(number))
+        for (a, among), number in ranked.items()
+        if among
+    ]
+    if not asked:
+        empty = [[F.lit(a).alias("column"), *[F.lit(None).cast("double").alias(b) for b in columns]] for a in columns]
+        return rows.sparkSession.range(1).select(one_row_each(*empty))
+    each = counts.withColumn("ranks", F.explode(F.array_compact(F.array(*asked)))).groupBy("ranks", "value").agg(F.sum("n").alias("n"))
+    running = running_total(each, ["ranks"], ["value"], "n")
     offset = F.lit(2) * F.col("upto") - F.col("n") - F.col("total")
-    ranks = ranked.select("column", "value", offset.cast("double").alias("offset"))
-    # The planner sees the size of each column's ranks and broadcasts short ones; for
-    # long ones adaptive execution splits hot values.
-    for name, lookup in stage_each(ranks, "column", columns, "ranks").items():
-        rows = rows.join(lookup.toDF(name, f"offset_{name}"), name)
-
-    def product(a: str, b: str):
-        return F.sum(F.col(f"offset_{a}") * F.col(f"offset_{b}"))
-
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    sums = rows.agg(*[product(a, b).alias(f"{a}*{b}") for a, b in pairs])
-
-    def moment(a: str, b: str):
-        return F.col(f"`{a}*{b}`" if (a, b) in pairs else f"`{b}*{a}`")
+    offsets = running.select("ranks", "value", offset.cast("double").alias("offset"))
+    # The planner sees the size of each lookup and broadcasts short ones; for long ones
+    # adaptive execution splits hot values. A missing value finds none.
+    lookups = stage_each(offsets, "ranks", [str(number) for (_, among), number in ranked.items() if among], "ranks")
+    for (a, among), number in ranked.items():
+        if among:
+            lookup = lookups[str(number)].select(F.col("value").alias(columns[a]), F.col("offset").alias(f"offset_{number}"))
+            rows = rows.join(lookup, columns[a], "left")
+
+    def product(a: int, b: int, x: int, y: int) -> Column:
+        """Sum of products of ranks x and y over the rows of the pair (a, b)."""
+        both = F.col(columns[a]).isNotNull() & F.col(columns[b]).isNotNull()
+        return F.sum(F.when(both, F.col(f"offset_{x}") * F.col(f"offset_{y}")))
+
+    pairs = [(a, b) for a in range(len(columns)) for b in range(a, len(columns)) if shared(a, b)]
+    moments = []
+    for a, b in pairs:
+        x, y = ranked[a, shared(a, b)], ranked[b, shared(a, b)]
+        moments += [product(a, b, *of).alias(f"{a}_{b}_{k}") for k, of in enumerate(((x, y), (x, x), (y, y)))]
+    sums = rows.agg(*moments)
 
     matrix = []
-    for a in columns:
-        cells = [F.lit(a).alias("column")]
-        for b in columns:
-            scale = F.sqrt(moment(a, a) * moment(b, b))
-            cells.append((moment(a, b) / F.nullif(scale, F.lit(0.0))).alias(b))
+    for a in range(len(columns)):
+        cells = [F.lit(columns[a]).alias("column")]
+        for b in range(len(columns)):
+            low, high = min(a, b), max(a, b)
+            if (low, high) in pairs:
+                scale = F.sqrt(F.col(f"{low}_{high}_1") * F.col(f"{low}_{high}_2"))
+                cell = F.col(f"{low}_{high}_0") / F.nullif(scale, F.lit(0.0))
+            else:
+                cell = F.lit(None).cast("double")
+            cells.append(cell.alias(columns[b]))
         matrix.append(cells)
     return sums.select(one_row_each(*matrix))

@@ -214,11 +214,20 @@ SIGNED_LOGS = """counted AS (
 TX_COLUMNS = [*RAW_COLUMNS, "revenue", "year", "month"]
 
 
-def sample(n: int) -> str:
-    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in TX_COLUMNS)
-    return f"""sampled AS (
-  SELECT * FROM tx ORDER BY md5(concat_ws('|', '42', {texts})), {', '.join(TX_COLUMNS)} LIMIT {n})"""
+def sample(n: int, source: str = "tx", columns: list[str] = TX_COLUMNS) -> str:
+    texts = ", ".join(
+        f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns
+    )
+    return f"""digested AS (
+  SELECT *, row_number() OVER (PARTITION BY digest) AS copy FROM (SELECT *, md5(concat_ws('|', {texts})) AS digest FROM {source})),
+sampled AS (
+  SELECT {', '.join(columns)} FROM digested ORDER BY md5(concat_ws('|', '42', digest, copy)), digest LIMIT {n})"""
+
 
+# Returns without a price and small sales without a quantity, beside the missing customers.
+GAPPY = ["quantity", "price", "customer_id"]
+GAPPY_A = "CASE WHEN quantity BETWEEN 1 AND 9 THEN NULL ELSE quantity END"
+GAPPY_B = "CASE WHEN quantity < 0 THEN NULL ELSE price END"
 
 NUMERIC = ["customer_id", "quantity", "price", "revenue", "year", "month"]
 AVERAGE_RANKS = "mean_ranks AS (SELECT " + ", ".join(
@@ -452,6 +461,24 @@ WHERE copies > 1""",
             ]
         ),
     ),
+    "spearman_with_nulls": select(
+        RAW + ",\n" + ",\n".join(
+            f"""pair_{a}_{b} AS (
+  SELECT corr(x, y) AS r FROM (
+    SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS x,
+           rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS y
+    FROM (SELECT {GAPPY_A} AS quantity, {GAPPY_B} AS price, customer_id FROM raw)
+    WHERE {a} IS NOT NULL AND {b} IS NOT NULL))"""
+            for a in GAPPY for b in GAPPY
+        ),
+        union(
+            [
+                f"""SELECT '{a}' AS "column", """
+                + ", ".join(f"(SELECT round(r, 6) FROM pair_{a}_{b}) AS {b}" for b in GAPPY)
+                for a in GAPPY
+            ]
+        ),
+    ),
     "box_stats": select(CLEAN, union([box("quantity"), box("price")])),
     "length_histogram": select(
         f"""{CLEAN},
@@ -489,6 +516,9 @@ points AS (SELECT "column", lo, step, width, CAST(i AS INTEGER) AS point FROM gr
 FROM points p JOIN weighted w ON p."column" = w."column" GROUP BY p."column", point""",
     ),
     "sample_exact": select(f"{CLEAN},\n{sample(20000)}", f"SELECT {TX_LIST} FROM sampled"),
+    "sample_with_copies": select(
+        f"{RAW},\n{sample(20000, 'raw', RAW_COLUMNS)}", f"SELECT {RAW_LIST} FROM sampled"
+    ),
     "extreme_quantities": select(
         LINES,
         head_and_tail(

@@ -86,6 +86,13 @@ def reconcile_rules(core: DataFrame) -> DataFrame:
     return comparison.reconcile(cut, feature_plan.features_from_core(core), "customer_id")
 
 
+def gappy(raw: DataFrame) -> DataFrame:
+    """Numbers that miss in different rows: returns have no price, small sales no quantity."""
+    return raw.selectExpr(
+        "if(quantity BETWEEN 1 AND 9, NULL, quantity) AS quantity", "if(quantity < 0, NULL, price) AS price", "customer_id"
+    )
+
+
 def kmeans(features: DataFrame) -> DataFrame:
     features = stage(features, "features")
     return clustering.assign_clusters(clustering.fit_clusters(features), features)
@@ -225,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "spearman": lambda spark, folder: rounded(
         distributions.spearman(clean_plan.clean_transactions(invoice_lines(spark, folder)))
     ),
+    "spearman_with_nulls": lambda spark, folder: rounded(distributions.spearman(gappy(invoice_lines(spark, folder)))),
     "box_stats": lambda spark, folder: rounded(
         distributions.box_stats(clean_plan.clean_transactions(invoice_lines(spark, folder)))
     ),
@@ -238,6 +246,7 @@ QUERIES: dict[str, Query] = {
         distributions.density(clean_plan.clean_transactions(invoice_lines(spark, folder)))
     ),
     "sample_exact": on_clean(lambda tx: sampling.sample_rows(tx, 20_000)),
+    "sample_with_copies": on_raw(lambda raw: sampling.sample_rows(raw, 20_000)),
     "extreme_quantities": on_lines(profiling.extreme_quantities),
     "date_extremes": on_clean(profiling.date_extremes),
     "priciest_products": on_valid(profiling.priciest_products),
