@@ -29,6 +29,31 @@ def test_mismatches_and_one_sided_rows(spark):
     assert found["segment"].mismatch_percent == pytest.approx(200 / 3)
 
 
+def test_repeated_and_missing_keys(spark):
+    row = (1, 5, 1.0, "a")
+    found = compare(
+        spark,
+        [row, row, (1, 6, 1.0, "a"), (None, 1, None, None), (None, 2, 2.0, "b"), (4, 1, 1.0, "c")],
+        [row, (1, 6, 1.0, "b"), (None, 1, None, "x"), (5, 1, 1.0, "c"), (5, 1, 1.0, "c")],
+    )
+    # Key 1 meets as (5, 5) and (5, 6), the missing key as (1, 1).
+    assert {name: row.mismatched for name, row in found.items()} == {"score": 1, "ratio": 0, "segment": 2}
+    assert {tuple(row)[5:] for row in found.values()} == {(3, 2, 3, 2)}
+    assert all(row.compared == 3 for row in found.values())
+
+
+def test_hot_key_and_one_sided_columns(spark, sliced):
+    left = spark.range(3000).selectExpr("if(id < 1500, 7, id) AS k", "id % 40 AS v", "id AS only_left")
+    right = spark.range(3000).selectExpr("if(id < 1400, 7, id) AS k", "id % 40 AS v", "1 AS only_right", "2 AS also_right")
+    rows = {row.column: row for row in reconcile(left, right, "k").collect()}
+    assert (rows["v"].compared, rows["v"].left_only, rows["v"].right_only) == (2900, 100, 100)
+    assert (rows["v"].left_repeated, rows["v"].right_repeated) == (1499, 1399)
+    places = [sorted(i % 40 for i in range(n)) for n in (1500, 1400)]
+    assert rows["v"].mismatched == sum(a != b for a, b in zip(*places))
+    sides = {name: (row.side, row.compared, row.mismatched) for name, row in rows.items() if name != "v"}
+    assert sides == {"only_left": ("left", 0, None), "only_right": ("right", 0, None), "also_right": ("right", 0, None)}
+
+
 @pytest.mark.parametrize("a, b", [(1.0, 1 + 0.9e-5), (1.0, 1 + 1.1e-5), (0.0, 0.9e-8), (0.0, 1.1e-8), (-2.0, 2.0)])
 def test_tolerance_is_that_of_pandas(spark, a, b):
     try:

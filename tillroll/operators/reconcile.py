@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.columns import one_row_each
+from tillroll.operators.ordering import running_total
+from tillroll.staging import stage
 
 # Tolerances of a floating-point comparison.
 RELATIVE_TOLERANCE = 1e-5
@@ -20,10 +22,32 @@ def close(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= reach, F.lit(False))
 
 
+def numbered(df: DataFrame, key: str, columns: list[str], repeated: DataFrame) -> DataFrame:
+    """Add ``_place``: 1 for a key that is in one row of either side, else the place of a row of its key.
+
+    Rows of a key are placed in the order of ``columns``. Equal ones are counted first, and
+    places run over slices of rows, so a key may hold any share of them.
+    """
+    again = repeated.select(F.col(key).alias("_again"))
+    met = df.withColumn("_key", F.struct(F.col(key).alias("k")))
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    single = met.join(again, same, "left_anti").drop("_key").withColumn("_place", F.lit(1).cast("bigint"))
+    many = met.join(again, same, "left_semi")
+    rest = [name for name in df.columns if name not in (key, *columns)]
+    counted = many.groupBy("_key", key, *columns, *rest).agg(F.count(F.lit(1)).alias("_copies"))
+    upto = running_total(counted, ["_key"], [*columns, *rest], "_copies")
+    places = F.sequence(F.col("upto") - F.col("_copies") + 1, F.col("upto"))
+    return single.unionByName(upto.withColumn("_place", F.explode(places)).select(*single.columns))
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Per column: rows on both sides, rows that differ, and rows on one side only.
 
-    Fractions are compared within a tolerance, anything else exactly.
+    Fractions are compared within a tolerance, anything else exactly. Both tables are
+    multisets: the rows of a repeated key meet in the order of their common columns, and
+    those that one side has more of are on one side only; ``left_repeated`` and
+    ``right_repeated`` count the rows after the first of their key. A missing key is a key.
+    A column that one table lacks has a row of its own, with ``side`` and nothing compared.
     """
     columns = [name for name in left.columns if name != key and name in right.columns]
     fractional = {
@@ -31,31 +55,53 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         for field in left.schema.fields
         if isinstance(field.dataType, (T.FractionalType, T.DecimalType))
     }
+    # Keys of several rows, from counts per key; staged, the planner knows how many they are.
+    counts = [
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side)) for side, df in (("l", left), ("r", right))
+    ]
+    repeats = stage(counts[0].unionByName(counts[1]).filter("n > 1"), "repeated")
+    keys = repeats.select(key).distinct()
     sides = [
-        df.select(F.col(key), F.struct(*columns).alias(side)) for df, side in ((left, "l"), (right, "r"))
+        numbered(df.select(key, *columns), key, columns, keys).select(
+            F.col(key), "_place", F.struct(F.lit(True).alias("_there"), *columns).alias(side)
+        )
+        for df, side in ((left, "l"), (right, "r"))
     ]
-    joined = sides[0].join(sides[1], key, "full_outer")
+    other = sides[1].withColumnsRenamed({key: "_other", "_place": "_other_place"})
+    meets = F.col(key).eqNullSafe(F.col("_other")) & (F.col("_place") == F.col("_other_place"))
+    joined = sides[0].join(other, meets, "full_outer")
     both = F.col("l").isNotNull() & F.col("r").isNotNull()
 
     def differs(name: str) -> Column:
-        a, b = F.col(f"l.{name}"), F.col(f"r.{name}")
+        a, b = F.col(f"l.`{name}`"), F.col(f"r.`{name}`")
         return both & ~(close(a, b) if name in fractional else a.eqNullSafe(b))
 
-    counts = joined.agg(
+    found = joined.agg(
         F.count_if(both).alias("compared"),
         F.count_if(F.col("r").isNull()).alias("left_only"),
         F.count_if(F.col("l").isNull()).alias("right_only"),
         *[F.count_if(differs(name)).alias(f"differ_{name}") for name in columns],
     )
-    rows = [
-        [
+    more = repeats.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n") - 1)), F.lit(0)).alias(name)
+            for side, name in (("l", "left_repeated"), ("r", "right_repeated"))
+        ]
+    )
+    one_row = found.crossJoin(F.broadcast(more))
+    nothing = F.lit(None).cast("bigint")
+
+    def report(name: str, side: str, compared: Column, mismatched: Column) -> list[Column]:
+        return [
             F.lit(name).alias("column"),
-            F.col("compared"),
-            F.col(f"differ_{name}").alias("mismatched"),
-            (F.col(f"differ_{name}") * 100.0 / F.nullif(F.col("compared"), F.lit(0))).alias("mismatch_percent"),
-            F.col("left_only"),
-            F.col("right_only"),
+            F.lit(side).alias("side"),
+            compared.alias("compared"),
+            mismatched.alias("mismatched"),
+            (mismatched * 100.0 / F.nullif(compared, F.lit(0))).alias("mismatch_percent"),
+            *[F.col(count) for count in ("left_only", "right_only", "left_repeated", "right_repeated")],
         ]
-        for name in columns
-    ]
-    return counts.select(one_row_each(*rows))
+
+    rows = [report(name, "both", F.col("compared"), F.col(f"differ_{name}")) for name in columns]
+    for side, df, others in (("left", left, right), ("right", right, left)):
+        rows += [report(name, side, F.lit(0).cast("bigint"), nothing) for name in df.columns if name not in others.columns]
+    return one_row.select(one_row_each(*rows))

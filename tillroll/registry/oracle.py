@@ -319,12 +319,13 @@ def reconciled() -> str:
 
     return union(
         [
-            f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE both_sides) AS compared,
+            f"""SELECT '{c}' AS "column", 'both' AS side, count(*) FILTER (WHERE both_sides) AS compared,
   count(*) FILTER (WHERE both_sides AND {differs(c)}) AS mismatched,
   count(*) FILTER (WHERE both_sides AND {differs(c)}) * 100.0 / count(*) FILTER (WHERE both_sides)
     AS mismatch_percent,
   count(*) FILTER (WHERE r.customer_id IS NULL) AS left_only,
-  count(*) FILTER (WHERE l.customer_id IS NULL) AS right_only
+  count(*) FILTER (WHERE l.customer_id IS NULL) AS right_only,
+  CAST(0 AS BIGINT) AS left_repeated, CAST(0 AS BIGINT) AS right_repeated
 FROM (SELECT l, r, l.customer_id IS NOT NULL AND r.customer_id IS NOT NULL AS both_sides
       FROM cut_features l FULL OUTER JOIN features r ON l.customer_id = r.customer_id)"""
             for c in columns
@@ -479,6 +480,37 @@ WHERE copies > 1""",
             ]
         ),
     ),
+    "reconcile_cleaning": select(
+        f"""{CLEAN},
+lefts AS (
+  SELECT *, row_number() OVER (PARTITION BY invoice ORDER BY stock_code NULLS FIRST, description NULLS FIRST, quantity, price) AS place
+  FROM raw),
+rights AS (
+  SELECT *, row_number() OVER (PARTITION BY invoice ORDER BY stock_code NULLS FIRST, description NULLS FIRST, quantity, price) AS place
+  FROM tx),
+met AS (
+  SELECT l, r, l.invoice IS NOT NULL AND r.invoice IS NOT NULL AS both_sides
+  FROM lefts l FULL OUTER JOIN rights r ON l.invoice = r.invoice AND l.place = r.place),
+sizes AS (
+  SELECT count(*) FILTER (WHERE both_sides) AS compared, count(*) FILTER (WHERE r.invoice IS NULL) AS left_only,
+         count(*) FILTER (WHERE l.invoice IS NULL) AS right_only,
+         (SELECT count(*) - count(DISTINCT invoice) FROM raw) AS left_repeated,
+         (SELECT count(*) - count(DISTINCT invoice) FROM tx) AS right_repeated
+  FROM met)""",
+        union(
+            [
+                f"""SELECT '{c}' AS "column", 'both' AS side, compared, mismatched, mismatched * 100.0 / compared AS mismatch_percent,
+  left_only, right_only, left_repeated, right_repeated
+FROM sizes, (SELECT count(*) AS mismatched FROM met WHERE both_sides AND l.{c} IS DISTINCT FROM r.{c})"""
+                for c in ("stock_code", "description", "quantity", "price")
+            ]
+            + [
+                f"""SELECT '{c}', '{side}', CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE),
+  left_only, right_only, left_repeated, right_repeated FROM sizes"""
+                for c, side in (("country", "left"), ("revenue", "right"), ("year", "right"))
+            ]
+        ),
+    ),
     "box_stats": select(CLEAN, union([box("quantity"), box("price")])),
     "length_histogram": select(
         f"""{CLEAN},

@@ -86,6 +86,14 @@ def reconcile_rules(core: DataFrame) -> DataFrame:
     return comparison.reconcile(cut, feature_plan.features_from_core(core), "customer_id")
 
 
+def reconcile_cleaning(raw: DataFrame) -> DataFrame:
+    """Raw lines against clean ones by invoice, of which either side has many lines."""
+    clean = clean_plan.clean_transactions(raw)
+    left = raw.select("invoice", "stock_code", "description", "quantity", "price", "country")
+    right = clean.select("invoice", "stock_code", "description", "quantity", "price", "revenue", "year")
+    return comparison.reconcile(stage(left, "left"), stage(right, "right"), "invoice")
+
+
 def gappy(raw: DataFrame) -> DataFrame:
     """Numbers that miss in different rows: returns have no price, small sales no quantity."""
     return raw.selectExpr(
@@ -296,5 +304,6 @@ QUERIES: dict[str, Query] = {
     ),
     "feature_top_values": on_features(profiling.top_values),
     "reconcile_features": on_core(reconcile_rules),
+    "reconcile_cleaning": on_raw(reconcile_cleaning),
     "kmeans_clusters": on_features(kmeans),
 }
