@@ -1,11 +1,12 @@
 """Plans that have to hold when one key is a third of the table and nothing is small."""
 
+import pandas as pd
 import pytest
 from frames import settings
 from pyspark.sql import functions as F
 
 from tillroll.operators import cleaning, distributions, profiling, trends
-from tillroll.operators.customers import customer_core
+from tillroll.operators.customers import customer_core, invoice_gaps
 from tillroll.plans.cleaning import cleaning_funnel
 from tillroll.plans.features import customer_features_from_raw
 from tillroll.sources.order_tables import invoice_lines
@@ -87,6 +88,23 @@ def test_hot_customer_is_spread_by_invoice(hot):
     assert len(core) == frame.customer_id.nunique()
 
 
+def test_gaps_of_a_hot_customer_cross_slices(spark, hot, large, sliced):
+    extra = hot.filter("customer_id < 9").withColumn("quantity", F.lit(1))
+    rows, plan = final_plan(invoice_gaps(hot.unionByName(extra)))
+    # Windows go by customer and slice, so a third of the rows is no task of its own.
+    assert "slice#" in plan.split("Window [")[1].split("\n")[0]
+    found = {(row.customer_id, row.invoice): (row.previous_invoice_date, row.gap_days) for row in rows}
+    frame = hot.select("customer_id", "invoice", "invoice_date").toPandas().sort_values(["customer_id", "invoice_date", "invoice"])
+    frame["previous"] = frame.groupby("customer_id").invoice_date.shift()
+    assert len(found) == len(frame) == len(rows)
+    for row in frame.itertuples():
+        previous, gap = found[row.customer_id, row.invoice]
+        if row.previous is pd.NaT:
+            assert previous is None and gap is None
+        else:
+            assert previous == row.previous and gap == pytest.approx((row.invoice_date - row.previous).total_seconds() / 86400)
+
+
 def test_only_needed_columns_are_read(spark):
     plan = customer_core(stage(invoice_lines(spark, SMALL)))
     text = plan._jdf.queryExecution().executedPlan().toString()

@@ -4,10 +4,11 @@ from decimal import Decimal
 
 import pytest
 from frames import line, settings
+from pyspark.sql import functions as F
 
 from tillroll.operators.cleaning import add_calendar, add_revenue
 from tillroll.plans.cleaning import clean_transactions
-from tillroll.sources import files, tables
+from tillroll.sources import files, sorted_tables, tables
 from tillroll.sources.names import clean_column_name, clean_column_names, identifier
 from tillroll.sources.schemas import (
     FEATURE_COLUMNS,
@@ -232,3 +233,23 @@ def test_contracts(spark):
     unbounded = check_contract(df, DatasetContract("x", frozenset("ac"))).first()
     assert unbounded.passed and unbounded.rows is None
     assert len(FEATURE_COLUMNS) == 11
+
+
+def test_sorted_table(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    ids = [None, *(i * 7919 % 1000 for i in range(1000))]
+    df = spark.createDataFrame([(i, str(i)) for i in ids], "id int, text string").repartition(7)
+    sorted_tables.write_sorted(df, path, "id", files=9)
+    index = sorted_tables.file_index(spark, path).orderBy(F.col("last")).collect()
+    assert len(index) > 4 and sum(row.rows for row in index) == 1001 and sum(row.without_key for row in index) == 1
+    assert all(a.last < b.first for a, b in zip(index, index[1:]))
+    rows = sorted_tables.read_in_order(spark, path, "id").collect()
+    assert [row.id for row in sorted(rows, key=lambda row: row.position)] == sorted(ids, key=lambda i: (i is not None, i))
+    found = sorted_tables.lookup(spark, path, "id", 77)
+    assert [tuple(row) for row in found.collect()] == [(77, "77")] and len(found.inputFiles()) == 1
+    assert sorted_tables.lookup(spark, path, "id", None).count() == 1
+    assert sorted_tables.lookup(spark, path, "id", 5000).count() == 0
+    # Key ranges only touch where a key fills several files.
+    hot = spark.range(4000).selectExpr("if(id < 3000, 5, id) AS id")
+    ordered = sorted_tables.sorted_copy(hot, "id", 8).orderBy("position").collect()
+    assert [row.id for row in ordered] == sorted(row.id for row in ordered) and len(ordered) == 4000

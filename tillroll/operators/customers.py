@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import elapsed_days, elapsed_seconds, ratio
+from tillroll.operators.ordering import previous_rows
 from tillroll.staging import stage
 
 
@@ -75,6 +76,17 @@ def interpurchase_days(transactions: DataFrame) -> DataFrame:
     )
 
 
+def invoice_gaps(transactions: DataFrame) -> DataFrame:
+    """Every invoice of a customer with the days since the one before, null for the first.
+
+    An invoice counts from its earliest row; invoices of one time go by number.
+    """
+    invoices = invoice_totals(transactions).select("customer_id", "invoice", F.col("first_date").alias("invoice_date"))
+    ordered = previous_rows(invoices, "customer_id", ["invoice_date", "invoice"], ["invoice_date"])
+    gap = elapsed_seconds(F.col("invoice_date"), F.col("previous_invoice_date")).cast("double") / 86400
+    return ordered.withColumn("gap_days", gap)
+
+
 def tenure_days(transactions: DataFrame) -> DataFrame:
     """Days from a customer's first purchase to the latest purchase of all, rounded half to even."""
     spans = stage(

@@ -59,6 +59,28 @@ def running_total(
     )
 
 
+def previous_rows(df: DataFrame, by: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Add ``previous_<value>`` for each of ``values``: that of the row before within ``by``, or null.
+
+    Rows are cut into contiguous slices of the order by (``by``, ``order``), which must be
+    unique, so one group may hold any share of the rows. Within a slice a window looks
+    back; the first row of a slice looks at a halo of one row, the last one of the slices
+    before it. Halos are one row per slice. Rows without ``by`` are a group.
+    """
+    sliced = stage(df.repartitionByRange(by, *order).withColumn("slice", F.spark_partition_id()), "sliced")
+    ends = sliced.groupBy("slice").agg(F.max(F.struct(F.col(by).alias("by"), *dict.fromkeys([*order, *values]))).alias("end"))
+    slices = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # As many rows as slices; the largest row of all slices before is the last of the nearest.
+    halos = stage(ends.select("slice", F.max("end").over(slices).alias("halo")), "halos")
+    within = Window.partitionBy(by, "slice").orderBy(*order)
+    placed = sliced.join(halos, "slice").withColumn("first", F.row_number().over(within) == 1)
+    same = F.col("first") & F.col(by).eqNullSafe(F.col("halo.by")) & F.col("halo").isNotNull()
+    looked = {
+        f"previous_{name}": F.when(same, F.col(f"halo.{name}")).otherwise(F.lag(name).over(within)) for name in values
+    }
+    return placed.withColumns(looked).select(*df.columns, *looked)
+
+
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str], kind: str) -> DataFrame:
     """One row per column and row, as (keys, column, value) with values of one type."""
     typed = df.select(*keys, *[F.col(name).cast(kind).alias(name) for name in columns])

@@ -371,6 +371,7 @@ WHERE quantity % 17 = 3 OR late""",
     "csv_round_trip": select(CLEAN, f"SELECT {TX_LIST} FROM tx"),
     "table_load": select(CLEAN, f"SELECT {TX_LIST} FROM tx"),
     "feature_table": select(FEATURES, "SELECT * FROM features"),
+    "sorted_features": select(FEATURES, "SELECT *, row_number() OVER (ORDER BY customer_id) AS position FROM features"),
     "contract_check": select(
         CLEAN,
         """SELECT 'processed_transactions' AS contract, true AS passed, '' AS missing, '' AS unexpected,
@@ -649,6 +650,14 @@ invoices AS (SELECT customer_id, invoice, min(invoice_date) AS day FROM tx GROUP
   CAST(epoch(max(day)) - epoch(min(day)) AS DOUBLE) / 86400 / nullif(count(*) - 1, 0) AS avg_interpurchase_days
 FROM invoices GROUP BY customer_id""",
     ),
+    "invoice_gaps": select(
+        f"""{CLEAN},
+invoices AS (SELECT customer_id, invoice, min(invoice_date) AS invoice_date FROM tx GROUP BY customer_id, invoice)""",
+        """SELECT customer_id, invoice, invoice_date, previous_invoice_date,
+  CAST(epoch(invoice_date) - epoch(previous_invoice_date) AS DOUBLE) / 86400 AS gap_days
+FROM (SELECT *, lag(invoice_date) OVER (PARTITION BY customer_id ORDER BY invoice_date, invoice) AS previous_invoice_date
+      FROM invoices)""",
+    ),
     "tenure_days": select(
         CLEAN,
         """SELECT customer_id, CAST(round_even(

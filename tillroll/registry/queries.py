@@ -13,7 +13,7 @@ from tillroll.operators import reconcile as comparison
 from tillroll.operators import sampling, scoring, trends
 from tillroll.plans import cleaning as clean_plan
 from tillroll.plans import features as feature_plan
-from tillroll.sources import files, tables
+from tillroll.sources import files, sorted_tables, tables
 from tillroll.sources.order_tables import invoice_lines
 from tillroll.sources.schemas import PROCESSED_TRANSACTIONS, RAW_TRANSACTIONS, check_contract
 from tillroll.staging import new_path, scratch_database, stage
@@ -200,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": on_clean(csv_round_trip),
     "table_load": on_clean(table_load),
     "feature_table": on_features(feature_table),
+    "sorted_features": on_features(lambda features: sorted_tables.sorted_copy(features, "customer_id", 16)),
     "contract_check": on_clean(lambda tx: check_contract(tx, PROCESSED_TRANSACTIONS)),
     # Cleaning and data quality
     "transactions_enriched": on_raw(
@@ -282,6 +283,7 @@ QUERIES: dict[str, Query] = {
         lambda core: customers.add_average_order_value(core).select("customer_id", "avg_order_value")
     ),
     "interpurchase_days": on_clean(customers.interpurchase_days),
+    "invoice_gaps": on_clean(customers.invoice_gaps),
     "tenure_days": on_clean(customers.tenure_days),
     # Scores, segments and features
     "rank_first": on_core(ranks),
