@@ -90,6 +90,23 @@ def test_date_summary(raw_frame):
         assert abs(pd.Timestamp(row[ours]) - expected[theirs]) < pd.Timedelta(microseconds=2)
 
 
+def test_columns_without_a_value_and_dates_of_any_kind(spark):
+    df = spark.createDataFrame(
+        [(1, None, None, "2010-12-01 08:00:00"), (3, None, None, None)], "x int, y double, t string, s string"
+    ).selectExpr("*", "CAST(s AS timestamp) AS moment", "CAST(s AS date) AS day", "CAST(NULL AS date) AS never")
+    numbers = {row.column: row for row in profiling.numeric_summary(df).collect()}
+    assert (numbers["x"]["count"], numbers["y"]["count"], numbers["y"].mean, numbers["y"].q50) == (2, 0, None, None)
+    dates = {row.column: row for row in profiling.date_summary(df).collect()}
+    assert str(dates["moment"].max) == "2010-12-01 08:00:00" and str(dates["day"].q50) == "2010-12-01 00:00:00"
+    assert (dates["never"]["count"], dates["never"].min) == (0, None)
+    texts = {row.column: row for row in profiling.top_values(df).collect()}
+    assert (texts["t"].distinct_values, texts["t"].position, texts["t"].share) == (0, None, None)
+    assert (texts["s"].distinct_values, texts["s"].value, texts["s"].share) == (1, "2010-12-01 08:00:00", 1.0)
+    nothing = df.limit(0)
+    assert [row["count"] for row in profiling.numeric_summary(nothing).collect()] == [0, 0]
+    assert profiling.top_values(nothing).count() == 2
+
+
 def test_columns_by_type(dirty):
     assert profiling.numeric_columns(dirty) == ["quantity", "price", "customer_id"]
     assert profiling.text_columns(dirty) == ["invoice", "stock_code", "description", "country"]

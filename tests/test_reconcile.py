@@ -1,14 +1,17 @@
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.operators.clustering import (
     assign_clusters,
+    check_fixed_point,
     fit_clusters,
     load_model,
     save_model,
     silhouette,
 )
 from tillroll.operators.reconcile import reconcile
+from tillroll.staging import stage
 
 SCHEMA = "customer_id int, score int, ratio double, segment string"
 
@@ -83,3 +86,19 @@ def test_clusters_separate_groups_and_survive_saving(spark, groups, tmp_path):
     assert {row.customer_id: row.cluster for row in again.collect()} == assigned
     refit = assign_clusters(fit_clusters(groups, k=2), groups)
     assert {row.customer_id: row.cluster for row in refit.collect()} == assigned
+
+
+def test_fixed_point_of_clusters(spark):
+    rows = [(i, i % 7 + 40 * (i % 2), i % 5 + 1, 100.0 * (i % 2) + i % 3, 0.1 * (i % 3), 10.0 + i % 4) for i in range(300)]
+    features = stage(
+        spark.createDataFrame(
+            rows, "customer_id int, recency int, frequency long, monetary double, return_ratio double, avg_order_value double"
+        )
+    )
+    model = fit_clusters(features, k=3, max_iterations=200, tolerance=1e-9)
+    found = {row.condition: (row.checked, row.violations) for row in check_fixed_point(model, features).collect()}
+    assert found == {"nearest centre": (300, 0), "mean of members": (15, 0)}
+    # Other customers than those that were fitted move the means.
+    shifted = features.filter("customer_id < 150").withColumn("recency", F.col("recency") + F.col("customer_id"))
+    off = {row.condition: row.violations for row in check_fixed_point(model, shifted).collect()}
+    assert off["mean of members"] > 0 and off["nearest centre"] == 0

@@ -150,10 +150,16 @@ def quantile_picks(quantiles: dict[str, tuple[int, int]]) -> dict[str, Column]:
     return picks
 
 
-def describe_counts(counts: DataFrame) -> DataFrame:
+def asked_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column name, whether ``df`` has a value there or not."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns)).cast("array<string>")).alias("column"))
+
+
+def describe_counts(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of each column.
 
-    ``counts`` is a result of ``value_counts`` without keys.
+    ``counts`` is a result of ``value_counts`` without keys. A column without a value has
+    a count of 0 and nothing else.
     """
     counts = stage(counts, "counts")
     mean = (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
@@ -169,6 +175,7 @@ def describe_counts(counts: DataFrame) -> DataFrame:
     )
     picked = running_total(counts, ["column"], ["value"], "n", holds_quantile(QUARTILES))
     quartiles = picked.groupBy("column").agg(*[pick.alias(name) for name, pick in quantile_picks(QUARTILES).items()])
-    return moments.join(F.broadcast(quartiles), "column").select(
-        "column", "count", "mean", "std", "min", *QUARTILES, "max"
+    described = moments.join(F.broadcast(quartiles), "column")
+    return asked_columns(counts, columns).join(F.broadcast(described), "column", "left").select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", *QUARTILES, "max"
     )

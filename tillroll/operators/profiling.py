@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.columns import one_row_each
-from tillroll.operators.ordering import describe_counts, value_counts
+from tillroll.operators.ordering import asked_columns, describe_counts, value_counts
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -19,7 +19,9 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def timestamp_columns(df: DataFrame) -> list[str]:
-    return [field.name for field in df.schema.fields if isinstance(field.dataType, T.TimestampNTZType)]
+    """Columns of dates and of timestamps, with a time zone or without."""
+    kinds = (T.TimestampNTZType, T.TimestampType, T.DateType)
+    return [field.name for field in df.schema.fields if isinstance(field.dataType, kinds)]
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -87,17 +89,21 @@ def dataset_overview(df: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of numeric columns."""
-    return describe_counts(value_counts(df, columns or numeric_columns(df)))
+    columns = columns or numeric_columns(df)
+    return describe_counts(value_counts(df, columns), columns)
 
 
 def date_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, extremes and exact quartiles of timestamp columns."""
+    """Count, mean, extremes and exact quartiles of dates and timestamps, as timestamps without a zone.
+
+    A date counts as its midnight, and a timestamp with a zone as the time in the session's.
+    """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     columns = columns or timestamp_columns(df)
     seconds = df.select(
-        *[(F.col(name) - epoch).cast("interval second").cast("decimal(20,6)").alias(name) for name in columns]
+        *[(F.col(name).cast("timestamp_ntz") - epoch).cast("interval second").cast("decimal(20,6)").alias(name) for name in columns]
     )
-    summary = describe_counts(value_counts(seconds, columns))
+    summary = describe_counts(value_counts(seconds, columns), columns)
 
     def moment(name: str):
         return epoch + F.make_dt_interval(secs=F.col(name).cast("decimal(18,6)"))
@@ -110,7 +116,8 @@ def date_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
     """Distinct values per text column and its ``k`` most frequent ones as shares of non-null rows.
 
-    All columns are counted in one pass; only counted values are shuffled.
+    All columns are counted in one pass; only counted values are shuffled. A column without
+    a value has one row, with no value and no distinct ones.
     """
     columns = columns or text_columns(df)
     values = df.select(*columns).unpivot([], columns, "column", "value").filter("value IS NOT NULL")
@@ -120,8 +127,14 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> D
     )
     order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
     top = counts.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= k)
-    return top.join(totals, "column").select(
-        "column", "distinct_values", "position", "value", (F.col("n") / F.col("present")).alias("share")
+    # At most k rows per column of the frame.
+    found = F.broadcast(top.join(totals, "column"))
+    return asked_columns(df, columns).join(found, "column", "left").select(
+        "column",
+        F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
+        "position",
+        "value",
+        (F.col("n") / F.col("present")).alias("share"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,21 +36,29 @@ def last_ranks(n: int, buckets: int, rule: str) -> list[int]:
     raise ValueError(f"unknown rule: {rule}")
 
 
+def bucket_edges(
+    df: DataFrame, key: str = "customer_id", rules: Sequence[str] = ("ntile",), buckets: int = BUCKETS
+) -> tuple[int, dict]:
+    """Number of rows, and the (value, key) at the end of every bucket of all ``rules``, by (metric, rank)."""
+    n = df.count()
+    # Without rows every end is rank 0, which no row holds.
+    ends = {end for rule in rules for end in last_ranks(n, buckets, rule) if end}
+    edges = rank_rows(df, key, list(SCORES), sorted(ends)).collect()
+    return n, {(edge["column"], edge["rank"]): (edge["value"], edge[key]) for edge in edges}
+
+
 def add_scores(
-    df: DataFrame, key: str = "customer_id", rule: str = "ntile", buckets: int = BUCKETS
+    df: DataFrame, key: str = "customer_id", rule: str = "ntile", buckets: int = BUCKETS, edges: tuple[int, dict] | None = None
 ) -> DataFrame:
     """Add a 1..``buckets`` score per metric, ordered by (metric, key), null metrics last.
 
     ``df`` has one row per key and is read several times, so it should be staged. Only
-    the row at the end of each bucket is looked up (at most ``buckets - 1`` per metric);
-    a row's score is then the number of those it lies beyond, which is decided row by
-    row and moves no data. Both rules rank null metrics last.
+    the row at the end of each bucket is looked up (at most ``buckets - 1`` per metric), or
+    taken from ``edges``; a row's score is then the number of those it lies beyond, which
+    is decided row by row and moves no data. Both rules rank null metrics last.
     """
-    n = df.count()
-    # Without rows every end is rank 0, which no row holds.
+    n, edge_at = edges or bucket_edges(df, key, [rule], buckets)
     ends = [end for end in last_ranks(n, buckets, rule) if end]
-    edges = rank_rows(df, key, list(SCORES), sorted(set(ends))).collect()
-    edge_at = {(edge["column"], edge["rank"]): (edge["value"], edge[key]) for edge in edges}
 
     def beyond(metric: str, end: int) -> Column:
         value, owner = edge_at[metric, end]

@@ -17,11 +17,11 @@ from tillroll.sources.schemas import FEATURE_COLUMNS
 from tillroll.staging import stage
 
 
-def features_from_core(core: DataFrame, rule: str = "ntile") -> DataFrame:
-    """Features of a staged customer core; ``rule`` picks how scores are cut."""
+def features_from_core(core: DataFrame, rule: str = "ntile", edges: tuple[int, dict] | None = None) -> DataFrame:
+    """Features of a staged customer core; ``rule`` picks how scores are cut, at ``edges`` if they are known."""
     return (
         add_recency(core)
-        .transform(add_scores, rule=rule)
+        .transform(add_scores, rule=rule, edges=edges)
         .transform(add_segments)
         .transform(add_return_ratio)
         .transform(add_average_order_value)
@@ -59,8 +59,8 @@ def customer_features_joined(transactions: DataFrame) -> DataFrame:
     """
     core = stage(customer_core(transactions), "customers")
     scored = add_segments(add_scores(add_recency(core)))
-    ratios = add_return_ratio(customer_core(transactions)).select("customer_id", "return_ratio")
-    values = add_average_order_value(customer_core(transactions)).select("customer_id", "avg_order_value")
+    ratios = add_return_ratio(core).select("customer_id", "return_ratio")
+    values = add_average_order_value(core).select("customer_id", "avg_order_value")
     return (
         scored.join(ratios, "customer_id", "left")
         .join(values, "customer_id", "left")

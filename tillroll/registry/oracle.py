@@ -151,6 +151,16 @@ def moment(seconds: str) -> str:
     return f"TIMESTAMP '1970-01-01' + to_microseconds(CAST(round(({seconds}) * 1000000) AS BIGINT))"
 
 
+def describe_dates(name: str, date: str) -> str:
+    return f"""SELECT '{name}' AS "column", count(*) AS count,
+  {moment(f"CAST(sum(CAST(epoch({date}) AS BIGINT)) AS DOUBLE) / count(*)")} AS mean,
+  min({date}) AS min,
+  {moment(f"quantile_cont(epoch({date}), 0.25)")} AS q25,
+  {moment(f"quantile_cont(epoch({date}), 0.5)")} AS q50,
+  {moment(f"quantile_cont(epoch({date}), 0.75)")} AS q75,
+  max({date}) AS max FROM raw"""
+
+
 def box(column: str) -> str:
     value = f"CAST({column} AS DOUBLE)"
     return f"""SELECT '{column}' AS "column", tx.year, count(*) AS count, round(any_value(q25), 6) AS q25,
@@ -349,6 +359,34 @@ daily AS (
 
 SCORES = "SELECT customer_id, recency_score, frequency_score, monetary_score FROM scored"
 
+# The columns that are expected of subscribers, stage by stage.
+SUBSCRIBERS = {
+    "pre_wrangling": (
+        7000,
+        "Churn,Contract,Dependents,DeviceProtection,InternetService,MonthlyCharges,MultipleLines,OnlineBackup,"
+        "OnlineSecurity,PaperlessBilling,Partner,PaymentMethod,PhoneService,SeniorCitizen,StreamingMovies,StreamingTV,"
+        "TechSupport,TotalCharges,customerID,gender,tenure",
+    ),
+    "post_wrangling": (
+        5000,
+        "churn,contract,dependents,device_protection,gender,internet_service,monthly_charges,multiple_lines,online_backup,"
+        "online_security,paperless_billing,partner,payment_method,phone_service,senior_citizen,streaming_movies,"
+        "streaming_tv,tech_support,tenure,total_charges",
+    ),
+    "post_feature_engineering": (
+        5000,
+        "churn,contract_stability,dependents,device_protection,fiber_no_support,high_risk_new_monthly,high_risk_tenure,"
+        "internet_service,manual_payment_early,monthly_charges,multiple_lines,online_backup,online_security,"
+        "paperless_billing,partner,payment_method,senior_citizen,streaming_movies,streaming_tv,tech_support,tenure",
+    ),
+    "model_input": (
+        0,
+        "contract_stability,dependents,device_protection,fiber_no_support,high_risk_new_monthly,high_risk_tenure,"
+        "internet_service,manual_payment_early,monthly_charges,multiple_lines,online_backup,online_security,"
+        "paperless_billing,partner,payment_method,senior_citizen,streaming_movies,streaming_tv,tech_support,tenure",
+    ),
+}
+
 ORACLE_SQL: dict[str, str] = {
     "landed_raw": select(RAW, f"SELECT {RAW_LIST} FROM raw"),
     "raw_csv": select(
@@ -377,6 +415,17 @@ WHERE quantity % 17 = 3 OR late""",
         """SELECT 'processed_transactions' AS contract, true AS passed, '' AS missing, '' AS unexpected,
   count(*) AS rows, CAST(1 AS INTEGER) AS min_rows FROM tx""",
     ),
+    "subscriber_contracts": select(
+        RAW,
+        union(
+            [
+                f"""SELECT '{name}' AS contract, false AS passed, '{missing}' AS missing,
+  '{",".join(sorted(RAW_COLUMNS))}' AS unexpected, {"count(*)" if rows else "CAST(NULL AS BIGINT)"} AS rows,
+  CAST({rows} AS INTEGER) AS min_rows FROM {"raw" if rows else "range(1)"}"""
+                for name, (rows, missing) in SUBSCRIBERS.items()
+            ]
+        ),
+    ),
     "transactions_enriched": select(
         RAW,
         f"""SELECT {RAW_LIST}, CAST(quantity * price AS DOUBLE) AS revenue,
@@ -438,15 +487,42 @@ WHERE copies > 1""",
     "dataset_overview": select(RAW, overview(RAW_TYPES, "raw")),
     "top_values": select(RAW, union([top_values(c, "raw") for c in ("invoice", "stock_code", "description", "country")])),
     "numeric_summary": select(RAW, union([describe(c, "raw") for c in ("quantity", "price", "customer_id")])),
-    "date_summary": select(
+    "date_summary": select(RAW, describe_dates("invoice_date", "invoice_date")),
+    "date_summary_kinds": select(
         RAW,
-        f"""SELECT 'invoice_date' AS "column", count(*) AS count,
-  {moment("CAST(sum(CAST(epoch(invoice_date) AS BIGINT)) AS DOUBLE) / count(*)")} AS mean,
-  min(invoice_date) AS min,
-  {moment("quantile_cont(epoch(invoice_date), 0.25)")} AS q25,
-  {moment("quantile_cont(epoch(invoice_date), 0.5)")} AS q50,
-  {moment("quantile_cont(epoch(invoice_date), 0.75)")} AS q75,
-  max(invoice_date) AS max FROM raw""",
+        union(
+            [
+                describe_dates("invoice_date", "invoice_date"),
+                describe_dates("day", "CAST(CAST(invoice_date AS DATE) AS TIMESTAMP)"),
+                describe_dates("moment", "invoice_date"),
+                """SELECT 'never', 0, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP),
+  CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)""",
+            ]
+        ),
+    ),
+    "numeric_summary_empty": select(
+        RAW,
+        union([describe("quantity", "raw"), "SELECT 'nothing', 0, " + ", ".join(["CAST(NULL AS DOUBLE)"] * 7)]),
+    ),
+    "top_values_empty": select(
+        RAW,
+        union([top_values("country", "raw"), "SELECT 'silent', 0, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)"]),
+    ),
+    "kmeans_fixed_point": select(
+        FEATURES,
+        """SELECT 'nearest centre' AS condition, count(*) AS checked, CAST(0 AS BIGINT) AS violations FROM features
+UNION ALL SELECT 'mean of members', CAST(4 * 5 AS BIGINT), CAST(0 AS BIGINT)""",
+    ),
+    "sketch_bounds": select(
+        CLEAN,
+        union(
+            [
+                f"""SELECT '{c}' AS "column", count({c}) AS present, count(DISTINCT {c}) AS exact_distinct,
+  true AS distinct_within, true AS ranks_within
+FROM tx WHERE year * 12 + month BETWEEN 1996 * 12 + 3 AND 1999 * 12 + 8"""
+                for c in ("quantity", "price", "customer_id", "stock_code", "country")
+            ]
+        ),
     ),
     "customer_revenue_stats": select(
         f"{LINES},\ntotals AS (SELECT customer_id, sum(revenue) AS revenue FROM lines GROUP BY customer_id)",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,12 @@ from pyspark.sql import types as T
 from tillroll.operators import cleaning, clustering, customers, distributions, ordering, profiling
 from tillroll.operators import reconcile as comparison
 from tillroll.operators import sampling, scoring, trends
+from tillroll.operators import sketches as monthly
 from tillroll.plans import cleaning as clean_plan
 from tillroll.plans import features as feature_plan
 from tillroll.sources import files, sorted_tables, tables
 from tillroll.sources.order_tables import invoice_lines
-from tillroll.sources.schemas import PROCESSED_TRANSACTIONS, RAW_TRANSACTIONS, check_contract
+from tillroll.sources.schemas import PROCESSED_TRANSACTIONS, RAW_TRANSACTIONS, SUBSCRIBER_CONTRACTS, check_contract
 from tillroll.staging import new_path, scratch_database, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,9 +83,10 @@ def ranks(core: DataFrame) -> DataFrame:
 
 
 def reconcile_rules(core: DataFrame) -> DataFrame:
-    """The features with evenly filled buckets against those with cut ranks."""
-    cut = feature_plan.features_from_core(core, "rank_cut")
-    return comparison.reconcile(cut, feature_plan.features_from_core(core), "customer_id")
+    """The features with evenly filled buckets against those with cut ranks, all edges looked up at once."""
+    edges = scoring.bucket_edges(customers.add_recency(core), rules=["rank_cut", "ntile"])
+    cut = feature_plan.features_from_core(core, "rank_cut", edges)
+    return comparison.reconcile(cut, feature_plan.features_from_core(core, "ntile", edges), "customer_id")
 
 
 def reconcile_cleaning(raw: DataFrame) -> DataFrame:
@@ -94,6 +97,39 @@ def reconcile_cleaning(raw: DataFrame) -> DataFrame:
     return comparison.reconcile(stage(left, "left"), stage(right, "right"), "invoice")
 
 
+def kmeans_fixed_point(features: DataFrame) -> DataFrame:
+    features = stage(features, "features")
+    model = clustering.fit_clusters(features, max_iterations=500, tolerance=1e-9)
+    return clustering.check_fixed_point(model, features)
+
+
+SKETCHED = ["quantity", "price", "customer_id", "stock_code", "country"]
+
+
+def sketch_bounds(transactions: DataFrame) -> DataFrame:
+    """Stored sketches merged over three years and a half, against the exact figures of these months."""
+    transactions = stage(transactions, "transactions")
+    sketches = stage(monthly.monthly_sketches(transactions, SKETCHED), "sketches")
+    summary = stage(monthly.sketched_summary(sketches, (1996, 3), (1999, 8)), "summary")
+    month = F.col("year") * 12 + F.col("month")
+    inside = transactions.filter(month.between(1996 * 12 + 3, 1999 * 12 + 8))
+    return monthly.check_sketches(inside, summary, SKETCHED)
+
+
+def dated(raw: DataFrame) -> DataFrame:
+    """Every kind of date, and columns without a value."""
+    return raw.select(
+        "invoice_date",
+        F.to_date("invoice_date").alias("day"),
+        F.col("invoice_date").cast("timestamp").alias("moment"),
+        F.lit(None).cast("date").alias("never"),
+        F.lit(None).cast("double").alias("nothing"),
+        "quantity",
+        F.lit(None).cast("string").alias("silent"),
+        "country",
+    )
+
+
 def gappy(raw: DataFrame) -> DataFrame:
     """Numbers that miss in different rows: returns have no price, small sales no quantity."""
     return raw.selectExpr(
@@ -202,6 +238,9 @@ QUERIES: dict[str, Query] = {
     "feature_table": on_features(feature_table),
     "sorted_features": on_features(lambda features: sorted_tables.sorted_copy(features, "customer_id", 16)),
     "contract_check": on_clean(lambda tx: check_contract(tx, PROCESSED_TRANSACTIONS)),
+    "subscriber_contracts": on_raw(
+        lambda raw: reduce(DataFrame.unionByName, [check_contract(raw, contract) for contract in SUBSCRIBER_CONTRACTS])
+    ),
     # Cleaning and data quality
     "transactions_enriched": on_raw(
         lambda raw: raw.transform(cleaning.add_revenue).transform(cleaning.add_calendar)
@@ -306,6 +345,11 @@ QUERIES: dict[str, Query] = {
     ),
     "feature_top_values": on_features(profiling.top_values),
     "reconcile_features": on_core(reconcile_rules),
+    "kmeans_fixed_point": on_features(kmeans_fixed_point),
+    "sketch_bounds": on_clean(sketch_bounds),
+    "date_summary_kinds": on_raw(lambda raw: profiling.date_summary(dated(raw))),
+    "numeric_summary_empty": lambda spark, folder: rounded(profiling.numeric_summary(dated(invoice_lines(spark, folder)))),
+    "top_values_empty": on_raw(lambda raw: profiling.top_values(dated(raw))),
     "reconcile_cleaning": on_raw(reconcile_cleaning),
     "kmeans_clusters": on_features(kmeans),
 }
