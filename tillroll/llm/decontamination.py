@@ -301,6 +301,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     that may be contaminated meet the list of those that are; all others pass by without a
     shuffle.
     """
-    keyed = docs.withColumn("_row", row_key())
+    # In a struct no column of the input can clash with the key.
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_whole")
+    keyed = docs.select(row_key().alias("_row"), F.col("text").alias("text"), whole)
     leaked = stage(contamination(keyed, benchmark, "_row").select("_row").distinct(), "leaked")
-    return docs_without(keyed, leaked, "_row").drop("_row")
+    return docs_without(keyed.select("_row", "_whole"), leaked, "_row").select("_whole.*")

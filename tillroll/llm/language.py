@@ -332,8 +332,12 @@ def keep_identified(docs: DataFrame) -> DataFrame:
                 found += [None if label == UNKNOWN and has_letter(text) else label for text, label in zip(own, labels)]
             yield pa.array(found, pa.string())
 
-    # Not deterministic to the planner, or it would label each text for the filter and again for the column.
-    predicted = docs.withColumn("_predicted", language_of.asNondeterministic()("text"))
+    # Not deterministic to the planner, or it would label each text for the filter and again
+    # for the column. In a struct no column of the input can clash with the label.
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_whole")
+    predicted = docs.select(whole, language_of.asNondeterministic()("text").alias("_predicted"))
     kept = predicted.filter(F.coalesce(F.col("_predicted") != UNKNOWN, F.lit(True)))
-    columns = [F.coalesce("_predicted", "lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*columns)
+    own = {name: F.col(f"_whole.`{name}`") for name in docs.columns}
+    if "lang" in own:
+        own["lang"] = F.coalesce("_predicted", own["lang"])
+    return kept.select(*[column.alias(name) for name, column in own.items()])

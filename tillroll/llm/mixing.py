@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.passing import row_key
 from tillroll.llm.text import NOT_BLANK, joined, pieces, runs
 from tillroll.staging import stage
 
@@ -224,9 +225,19 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``documents`` that the mix takes, with ``copies``, how often it takes each.
 
-    Rows of one id and source are one document here and have the copies of the first.
+    A row is known by its id, text and source, so rows without an id, or with one id and
+    different texts, are documents of their own. Rows that are equal in all three become
+    one, with the copies of all of them. An input column ``copies`` is replaced.
     """
-    chosen = mixture(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"))
-    chosen = chosen.agg(F.max("copies").alias("copies"))
+    columns = [name for name in docs.columns if name != "copies"]
+    whole = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("_whole")
+    keyed = docs.select(row_key().alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").alias("text"), whole)
+    chosen = mixture(keyed).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"))
+    chosen = chosen.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("_rows")).filter("copies > 0")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of"))
-    return docs.drop("copies").join(chosen, same).drop("_id", "_of")
+    rows = keyed.drop("text")
+    # Staged apart, the planner knows that those of several rows are few.
+    once = rows.join(stage(chosen.filter("_rows = 1"), "mixed"), same).select("_whole.*", "copies")
+    often = rows.join(stage(chosen.filter("_rows > 1"), "mixed-copies"), same).groupBy("_id", "_of")
+    often = often.agg(F.first("_whole").alias("_whole"), F.first("copies").alias("copies"))
+    return once.unionByName(often.select("_whole.*", "copies"))

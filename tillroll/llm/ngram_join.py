@@ -344,21 +344,23 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     ids and texts one stays. Only rows that may be dropped or repeated are compared; all
     others pass by without a shuffle.
     """
-    keyed = docs.withColumn("_row", row_key())
+    # In a struct no column of the input can clash with those of the join.
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_whole")
+    keyed = docs.select(row_key().alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("text"), whole)
     linked = similarity_components(keyed, "_row").filter("_row <> component_id")
     linked = stage(linked.select("_row", F.col("component_id").alias("_group")).distinct(), "linked")
     members = linked.union(linked.select(F.col("_group").alias("_row"), "_group").distinct())
-    likely, _ = likely_and_others(keyed.select("_row", "doc_id"), members, "_row")
+    likely, _ = likely_and_others(keyed.select("_row", "_id"), members, "_row")
     named = likely.distinct().join(members, "_row")
-    first = named.groupBy("_group").agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row")
+    first = named.groupBy("_group").agg(F.min(F.struct("_id", "_row")).alias("first")).select("first._row")
     dropped = members.select("_row").join(first, "_row", "left_anti")
     repeated = keyed.groupBy("_row").agg((F.count(F.lit(1)) > 1).alias("again")).filter("again")
     listed = stage(
         dropped.withColumn("gone", F.lit(True)).union(repeated.select("_row", F.lit(False))), "listed"
     )
-    likely, others = likely_and_others(keyed, listed, "_row")
+    likely, others = likely_and_others(keyed.select("_row", "_whole"), listed, "_row")
     kept = likely.join(listed.filter("gone").select("_row"), "_row", "left_anti")
     # Copies of a row collapse before the shuffle.
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    kept = kept.groupBy("_row").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_whole"))
-    return others.drop("_row").unionByName(kept.select("_whole.*"))
+    columns = [F.col(f"_whole.`{name}`") for name in docs.columns]
+    kept = kept.groupBy("_row").agg(F.min_by("_whole", F.xxhash64(*columns)).alias("_whole"))
+    return others.select("_whole.*").unionByName(kept.select("_whole.*"))
