@@ -84,7 +84,7 @@ def targets(sized: DataFrame, most: int = MOST_COPIES) -> DataFrame:
 def direction(units: list[list]) -> tuple[float, ...] | None:
     """A move of the units' probabilities that keeps their sum and their words, or None.
 
-    A unit is [probability, size, its row of source, doc_id, size and documents].
+    A unit is [probability, size, its row of source, doc_id, size, documents and row].
     """
     if len(units) == 3:
         a, b, c = (unit[1] for unit in units)
@@ -150,7 +150,7 @@ def flight(last: bool):
                     decided += end()
                     block, units, waiting = row[:2], [], deque()
                     dice = random.Random(f"{block}")
-                waiting.append([row[5], row[3], row[1:5]])
+                waiting.append([row[6], row[3], row[1:6]])
                 if len(waiting) <= LANDING * last:
                     continue
                 units.append(waiting.popleft())
@@ -165,20 +165,22 @@ def flight(last: bool):
 
 
 def flown(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * 5
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+    columns = list(zip(*rows)) if rows else [()] * 6
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
     return pa.record_batch([pa.array(column, kind) for column, kind in zip(columns, kinds)], FLOWN)
 
 
-FLOWN = ["source", "doc_id", "size", "documents", "p"]
+FLOWN = ["source", "doc_id", "size", "documents", "row", "p"]
 
 
 def balanced_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     """(source, doc_id, size, documents, p) with p 0 or 1, balanced within each source.
 
     ``units`` has the same columns with probabilities between 0 and 1 and the number of
-    documents of the source.
+    documents of the source, and may have ``row``, which tells rows of one id apart.
     """
+    if "row" not in units.columns:
+        return balanced_sample(units.withColumn("row", F.lit(0).cast("long")), block).drop("row")
     open_units, done, rows = units, [], units.agg(F.max("documents")).first()[0] or 0
     while True:
         last = rows <= block
@@ -186,8 +188,8 @@ def balanced_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
         n_blocks = F.lit(1) if last else F.ceil(F.col("documents") / F.lit(block))
         mixed = F.xxhash64("doc_id", "size", F.lit(len(done)))
         placed = open_units.withColumn("block", F.pmod(mixed, n_blocks.cast("long"))).withColumn("h", mixed)
-        met = placed.repartition("source", "block").sortWithinPartitions("source", "block", "h", "doc_id", "size")
-        result = stage(met.select("block", *FLOWN).mapInArrow(flight(last), "source string, doc_id long, size long, documents long, p double"), "flight")
+        met = placed.repartition("source", "block").sortWithinPartitions("source", "block", "h", "doc_id", "size", "row")
+        result = stage(met.select("block", *FLOWN).mapInArrow(flight(last), "source string, doc_id long, size long, documents long, row long, p double"), "flight")
         done.append(result if last else result.filter("p IN (0, 1)"))
         if last:
             break
@@ -204,8 +206,13 @@ def mixture(docs: DataFrame) -> DataFrame:
 
     ``taken`` is size times copies: the words that the mix takes of the document.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    sized = stage(sizes(rows, ["doc_id", "source"]), "sizes")
+    return mixed_rows(docs.withColumn("row", F.lit(0).cast("long"))).drop("row")
+
+
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """As ``mixture``, with the long ``row`` of every row. Ids decide the sample, not rows."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "row", "text")
+    sized = stage(sizes(rows, ["doc_id", "source", "row"]), "sizes")
     goals = stage(targets(sized), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(ratio + CLOSE)
@@ -213,12 +220,12 @@ def mixture(docs: DataFrame) -> DataFrame:
     per_row = sized.join(goals.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     extra = (F.col("p") > CLOSE) & (F.col("size") > 0)
     sampled = balanced_sample(per_row.filter(extra).select(*FLOWN))
-    fixed = per_row.filter(~extra).select("source", "doc_id", "size", F.lit(0.0).alias("p"))
-    decided = sampled.select("source", "doc_id", "size", "p").unionByName(fixed)
+    columns = ["source", "doc_id", "size", "row"]
+    decided = sampled.select(*columns, "p").unionByName(per_row.filter(~extra).select(*columns, F.lit(0.0).alias("p")))
     result = decided.join(goals.withColumnRenamed("source", "of").drop("p"), F.col("source").eqNullSafe(F.col("of")))
     copies = F.when(F.col("size") > 0, F.col("whole") + F.col("p").cast("long")).otherwise(F.lit(0)).cast("long")
     return result.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
+        "doc_id", "source", "row", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
     )
 
 
@@ -231,13 +238,14 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     columns = [name for name in docs.columns if name != "copies"]
     whole = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("_whole")
-    keyed = docs.select(row_key().alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").alias("text"), whole)
-    chosen = mixture(keyed).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"))
+    source = F.col("source").cast("string").alias("source")
+    keyed = docs.select("doc_id", row_key().alias("row"), source, F.col("text").alias("text"), whole)
+    chosen = mixed_rows(keyed).groupBy(F.col("row").alias("_row"), F.col("source").alias("_of"))
     chosen = chosen.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("_rows")).filter("copies > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of"))
-    rows = keyed.drop("text")
+    same = (F.col("row") == F.col("_row")) & F.col("source").eqNullSafe(F.col("_of"))
+    rows = keyed.drop("doc_id", "text")
     # Staged apart, the planner knows that those of several rows are few.
     once = rows.join(stage(chosen.filter("_rows = 1"), "mixed"), same).select("_whole.*", "copies")
-    often = rows.join(stage(chosen.filter("_rows > 1"), "mixed-copies"), same).groupBy("_id", "_of")
+    often = rows.join(stage(chosen.filter("_rows > 1"), "mixed-copies"), same).groupBy("_row", "_of")
     often = often.agg(F.first("_whole").alias("_whole"), F.first("copies").alias("copies"))
     return once.unionByName(often.select("_whole.*", "copies"))
