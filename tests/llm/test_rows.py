@@ -1,9 +1,12 @@
 """Operators that judge one row at a time, the mixture and the pipeline."""
 
+import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from llm_helpers import ascii_lower, components_of, shingles, words
 from pyspark.sql import functions as F
@@ -90,6 +93,63 @@ def test_toxicity_of_held_out_documents_and_of_hidden_insults(spark):
     assert sum(caught) > 0.85 * len(caught) and sum(alarms) < 0.08 * len(alarms)
 
 
+def test_a_phrase_of_ordinary_words_is_toxic(spark):
+    draw = random.Random(3)
+    plain = ["river", "house", "green", "seven", "under", "light", "paper", "stone", "water", "garden"]
+    rows = []
+    for i in range(1200):
+        own = draw.choices(plain, k=30)
+        for word in ["drop dead now"] if i % 3 == 0 else ["drop", "dead", "now"]:
+            own.insert(draw.randrange(len(own)), word)
+        text = " ".join(own)
+        rows.append((i, text.replace("drop dead now", "drop dead, now") if i % 3 else text, int(i % 3 == 0)))
+    rows = [row for row in rows if row[2] or "drop dead" not in row[1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = toxicity.toxicity(docs, docs).join(docs.select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
+    caught = [row.predicted for row in found if row.toxic]
+    alarms = [row.predicted for row in found if not row.toxic]
+    assert len(caught) > 50 and sum(caught) >= 0.9 * len(caught) and sum(alarms) <= 0.05 * len(alarms)
+
+
+def subsequence_weights(span):
+    """Weight of every gapped subsequence, position by position."""
+    weights = Counter()
+    for at in combinations(range(len(span)), toxicity.LETTERS):
+        if at[-1] - at[0] < toxicity.SPAN:
+            weights[tuple(span[i] for i in at)] += toxicity.DECAY ** (at[-1] - at[0] - toxicity.LETTERS + 1)
+    return weights
+
+
+def test_linear_form_equals_brute_force_kernel(middle):
+    texts = [row.text for row in middle.filter("n_chars < 400").orderBy("doc_id").limit(50).collect()]
+    texts += ["", "a", "i d i o t! Yes", "one. two\nthree"]
+    groups = toxicity.letter_groups([text.lower() for text in texts])
+    every = toxicity.spans(groups)
+    # Spans never leave a sentence.
+    alone = [toxicity.spans(toxicity.letter_groups([part])) for part in ("i d i o t!", "yes", "one.", "two", "three")]
+    last = [every.word(i) for i in np.flatnonzero(every.text >= len(texts) - 2)]
+    assert last == [each.word(i) for each in alone for i in range(len(each.start))]
+    words = sorted({every.word(i) for i in range(len(every.start))})
+    model = toxicity.ToxicityModel(None, 0.0, 1.0, 0.0, 0.0)
+    model.weights, model.bias = toxicity.fit_machine([(word, 1.0) for word in words[:40]], [(word, 2.0) for word in words[40:90]])
+    found = toxicity.decisions(model, every)
+    for i in range(0, len(found), 7):
+        own = subsequence_weights(every.word(i))
+        feature = lambda letters: int(sum(letter << 5 * k for k, letter in enumerate(reversed(letters))))
+        expected = sum(weight * float(model.weights[feature(letters)]) for letters, weight in own.items())
+        size = np.array([len(every.word(i))])
+        assert found[i] == pytest.approx(expected / toxicity.norms(size)[0] + model.bias, abs=1e-4)
+    # The kernel of two spans is the product of their subsequence weights.
+    columns = np.arange(toxicity.FEATURES)
+    vectors = toxicity.vectors(words[:6], columns, toxicity.FEATURES)
+    for a in range(6):
+        for b in range(6):
+            first, second = subsequence_weights(words[a]), subsequence_weights(words[b])
+            sizes = toxicity.norms(np.array([len(words[a]), len(words[b])]))
+            product = sum(weight * second[letters] for letters, weight in first.items())
+            assert float(vectors[a] @ vectors[b]) == pytest.approx(product / sizes.prod(), abs=1e-5)
+
+
 def phrases_in(text):
     own = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", ascii_lower(text or ""))
     at = [(i, label) for phrase, label in licenses.PHRASES for i in range(len(own)) if own[i : i + len(phrase.split())] == phrase.split()]

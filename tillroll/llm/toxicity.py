@@ -1,25 +1,29 @@
 """Toxicity: a support vector machine over a gapped subsequence kernel, with Nyström landmarks.
 
-Sentences are read as letter groups: the letters of a token between blanks (so "i-d.i0t"
-is "idit"), where neighbouring tokens of a single letter are one group ("i d i o t").
-The kernel of two groups is the cosine-like product of their gapped subsequences: every
-four letters in order within ``SPAN`` places, group ends included, weigh ``DECAY`` to
-the number of letters skipped, so left-out and inserted letters cost a factor, not the match.
-
-Learning takes a bounded sample of labelled documents. A sentence has its document's
-label, but only some of its groups make it so: a group is an insult example if most
-documents that hold it are toxic, beyond chance, and a clean one if few are. The machine
-is trained on kernel values against landmark groups, whitened by the landmarks' own
-kernel matrix, and once more with the clean groups that it took for insults.
+A sentence is read as letter groups: the letters of a token between blanks (so "i-d.i0t"
+is "idit"), where neighbouring tokens of a single letter are one group ("i d i o t"). It is
+a bag of spans, every run of one to ``PHRASE`` groups in it, with a mark between groups
+as one more symbol. The kernel of two spans is the cosine-like product of their gapped
+subsequences: every four symbols in order within ``SPAN`` places weigh ``DECAY`` to the
+number of symbols skipped, so left-out and inserted letters cost a factor, not the match,
+and a phrase of ordinary words has subsequences across its blanks that the words have not.
+
+Learning takes the sentences of a bounded sample of labelled documents. A sentence has its
+document's label, but only some span of it is the reason: the witnesses of toxic sentences
+are the shortest spans that occur mostly in toxic documents, beyond chance; spans that few
+toxic documents hold are clean. Of equal sentences only one document's count, so neither
+copies nor a long document make an insult of a rare word. The machine is trained on kernel values
+against landmark spans of both kinds, whitened by the landmarks' own kernel matrix, and
+again, ``ROUNDS`` times, with the clean spans that it took for insults.
 Such a machine is linear in the subsequences of its landmarks, so its decision for a
-group is a sum of one weight per subsequence: scoring looks weights up in one table of
-fixed size, whatever the number of landmarks. A sentence has the decision of its worst
-group, a document that of its worst sentence, and a logistic curve fitted on the sample
-turns it into a probability.
+span is a sum of one weight per subsequence: scoring looks weights up in one table of
+fixed size, whatever the number of landmarks, and running sums over a text give the
+decision of every span. A sentence has the decision of its worst span, a document that of
+its worst sentence, and a logistic curve fitted on the sample turns it into a probability.
 
 Null and empty texts, and texts without letters, have the score of a text without any
 insult. Without labels, or without any insult found, every score is the share of toxic
-documents in the sample (0 without labels).
+documents in the sample (0 without labels). Extra columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -41,11 +45,17 @@ from tillroll.staging import stage
 DOCS_PER_CLASS = 6000
 LANDMARKS = 192
 CLEAN_EXAMPLES = 2500
-#: A group is an insult example from this share of toxic documents on, with so large a
+#: Longest span of a sentence, in letter groups.
+PHRASE = 3
+#: Trainings with the clean spans that the one before took for insults.
+ROUNDS = 2
+#: A span is an insult example from this share of toxic documents on, with so large a
 #: logarithm of the likelihood ratio against the share of toxic documents at large.
 TOXIC_SHARE = 0.5
 LEAST_EVIDENCE = 8.0
 CLEAN_SHARE = 0.3
+#: Spans that are looked through for the shortest insults.
+WITNESSES = 8000
 PREDICT_FROM = 0.3
 
 SPAN = 6
@@ -58,20 +68,24 @@ FEATURES = ALPHABET**LETTERS
 #: Places of the second to last letter of a subsequence after its first.
 PATTERNS = list(combinations(range(1, SPAN), LETTERS - 1))
 REGULARISATION = 1e-3
+STOPS = [ord(mark) for mark in ".!?"]
+SENTENCE_END = r"(?<=[.!?])[\t\x0B\f\r ]+|\n"
 
 
 @dataclass
 class Groups:
-    """Letter groups of several texts: symbols with an end mark between groups, and ranges.
+    """Letter groups, or spans of them: symbols with a mark between groups, and ranges.
 
-    ``start`` and ``stop`` delimit the symbols of a group with both end marks; ``text``
-    is the number of its text, ``at`` the place of its first letter in that text.
+    ``start`` and ``stop`` delimit the symbols of a group with both end marks; ``text`` is
+    the number of its text, ``sentence`` that of its sentence among those of all texts,
+    ``at`` the place of its first letter in that text.
     """
 
     symbols: np.ndarray
     start: np.ndarray
     stop: np.ndarray
     text: np.ndarray
+    sentence: np.ndarray
     at: np.ndarray
 
     def word(self, group: int) -> bytes:
@@ -93,7 +107,7 @@ def letter_groups(texts: list[str]) -> Groups:
     at = np.flatnonzero(is_letter)
     if not len(at):
         none = np.empty(0, np.int64)
-        return Groups(np.zeros(1, np.uint8), none, none, none, none)
+        return Groups(np.zeros(1, np.uint8), none, none, none, none, none)
     of = token[at]
     first = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
     size = np.diff(np.append(first, len(at)))
@@ -107,7 +121,10 @@ def letter_groups(texts: list[str]) -> Groups:
     symbols[np.arange(len(at)) + number + 1] = symbol_of(points[at])
     start = first + np.arange(len(first))
     stop = np.append(start[1:], len(symbols) - 1) + 1
-    groups = Groups(symbols, start, stop, text, at[first] - bounds[text])
+    # A sentence ends with its line, its text, or a mark before a blank.
+    ends = (points == ord("\n")) | (np.isin(points, STOPS) & np.append(blank[1:], True))
+    sentence = np.cumsum(ends)[at[first]]
+    groups = Groups(symbols, start, stop, text, sentence, at[first] - bounds[text])
     return parted(groups) if (stop - start > LONGEST + 2).any() else groups
 
 
@@ -120,7 +137,25 @@ def parted(groups: Groups) -> Groups:
     step = np.arange(len(number)) - np.repeat(np.cumsum(parts) - parts, parts)
     start = groups.start[number] + half * step
     stop = np.where(step + 1 < parts[number], start + LONGEST + 2, groups.stop[number])
-    return Groups(groups.symbols, start, stop, groups.text[number], groups.at[number] + half * step)
+    return Groups(groups.symbols, start, stop, groups.text[number], groups.sentence[number], groups.at[number] + half * step)
+
+
+def spans(groups: Groups) -> Groups:
+    """Every run of up to ``PHRASE`` groups within a sentence, by its first group."""
+    n = len(groups.start)
+    last = np.arange(n)[:, None] + np.arange(PHRASE)
+    inside = last < n
+    last = np.minimum(last, max(n - 1, 0))
+    inside &= (groups.sentence[last] == groups.sentence[:, None]) & (groups.text[last] == groups.text[:, None])
+    first = np.nonzero(inside)[0]
+    return Groups(
+        groups.symbols,
+        groups.start[first],
+        groups.stop[last[inside]],
+        groups.text[first],
+        groups.sentence[first],
+        groups.at[first],
+    )
 
 
 def unique_groups(groups: Groups) -> tuple[np.ndarray, np.ndarray]:
@@ -175,20 +210,31 @@ class ToxicityModel:
 
 
 def decisions(model: ToxicityModel, groups: Groups) -> np.ndarray:
-    """Decision of the machine per group."""
-    index, number = unique_groups(groups)
-    start, stop = groups.start[index], groups.stop[index]
-    total = np.zeros(len(index))
-    for group, feature, weight in subsequences(groups.symbols, start, stop):
-        total += weight * np.bincount(group, model.weights[feature], len(index))
-    return (total / norms(stop - start) + model.bias)[number]
+    """Decision of the machine per group or span, by running sums over all symbols."""
+    own = groups.symbols.astype(np.int32)
+    size = groups.stop - groups.start
+    total = np.zeros(len(size))
+    for reach in range(LETTERS - 1, SPAN):
+        n = max(len(own) - reach, 0)
+        at = np.zeros(len(own))
+        for places in PATTERNS:
+            if places[-1] != reach:
+                continue
+            feature = own[:n]
+            for place in places:
+                feature = feature * ALPHABET + own[place : place + n]
+            at[:n] += skip_weight(places) * model.weights[feature]
+        sums = np.concatenate([[0.0], np.cumsum(at)])
+        total += sums[np.maximum(groups.stop - reach, groups.start)] - sums[groups.start]
+    # Rounded, so that it does not depend on the texts that share a batch.
+    return np.round(total / norms(size) + model.bias, 6)
 
 
 def group_rows(words: list[bytes]) -> Groups:
     size = np.array([len(word) for word in words], np.int64)
     stop = np.cumsum(size)
     none = np.zeros(len(words), np.int64)
-    return Groups(np.frombuffer(b"".join(words), np.uint8), stop - size, stop, none, none)
+    return Groups(np.frombuffer(b"".join(words), np.uint8), stop - size, stop, none, none, none)
 
 
 def vectors(words: list[bytes], column_of: np.ndarray, columns: int) -> np.ndarray:
@@ -263,18 +309,18 @@ def learn_from_sample(sample: DataFrame, shares: dict[int, float]) -> ToxicityMo
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
-                groups = letter_groups([text.lower() for text in piece.column("text").to_pylist()])
+                groups = spans(letter_groups([text.lower() for text in piece.column("text").to_pylist()]))
                 if not len(groups.start):
                     continue
                 index, number = unique_groups(groups)
-                pairs = np.unique(np.column_stack([number, groups.text]), axis=0)
-                label = np.array(piece.column("toxic").to_pylist())[pairs[:, 1]]
+                held, text = np.divmod(np.unique(number * piece.num_rows + groups.text), piece.num_rows)
+                label = np.array(piece.column("toxic").to_pylist())[text]
                 n = len(index)
                 yield pa.record_batch(
                     [
                         pa.array([groups.word(i) for i in index], pa.binary()),
-                        pa.array(np.bincount(pairs[:, 0], label == 1, n)),
-                        pa.array(np.bincount(pairs[:, 0], label == 0, n)),
+                        pa.array(np.bincount(held, label == 1, n)),
+                        pa.array(np.bincount(held, label == 0, n)),
                     ],
                     ["word", "toxic", "clean"],
                 )
@@ -285,7 +331,15 @@ def learn_from_sample(sample: DataFrame, shares: dict[int, float]) -> ToxicityMo
     if not 0 < model.base < 1:
         return model
 
-    counted = sample.select("text", "toxic").mapInArrow(count, "word binary, toxic double, clean double")
+    # Of equal sentences, as copied documents have them, one document keeps its; a clean one first.
+    every = sample.select("toxic", "key", F.explode(F.split("text", SENTENCE_END)).alias("sentence"))
+    first = every.groupBy("sentence").agg(F.min(F.struct("toxic", "key")).alias("of")).select("of.*", "sentence")
+    own = first.groupBy("key", "toxic").agg(F.concat_ws("\n", F.collect_list("sentence")).alias("text"))
+    own = stage(own, "sentences")
+    per_label = {row[0]: row[1] for row in own.groupBy("toxic").count().collect()}
+    if len(per_label) < 2:
+        return model
+    counted = own.select("text", "toxic").mapInArrow(count, "word binary, toxic double, clean double")
     counted = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share = F.col("toxic") * scale[1] / (F.col("toxic") * scale[1] + F.col("clean") * scale[0])
     at_large = per_label[1] / (per_label[1] + per_label[0])
@@ -294,31 +348,34 @@ def learn_from_sample(sample: DataFrame, shares: dict[int, float]) -> ToxicityMo
     counted = stage(counted.select("word", "toxic", "clean", share.alias("share"), evidence.alias("evidence")), "groups")
     # Bounded by the number of examples that one machine is trained on.
     toxic = counted.filter((F.col("share") >= TOXIC_SHARE) & (F.col("evidence") >= LEAST_EVIDENCE))
-    toxic = toxic.orderBy(F.desc("toxic"), "word").limit(4 * LANDMARKS).collect()
+    # A part of a span is in no fewer documents, so it comes before the span.
+    toxic = toxic.orderBy(F.desc("toxic"), F.length("word"), "word").limit(WITNESSES).collect()
     clean = counted.filter((F.col("share") < CLEAN_SHARE) & (F.col("clean") > 0)).select("word", "clean")
     frequent = clean.orderBy(F.desc("clean"), "word").limit(CLEAN_EXAMPLES // 2).collect()
     others = clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_EXAMPLES // 2).collect()
     if not toxic or not frequent:
         return model
-    insults = [(bytes(row["word"]), float(row["toxic"])) for row in toxic]
+    insults = shortest([(bytes(row["word"]), float(row["toxic"])) for row in toxic])[: 4 * LANDMARKS]
     examples = {bytes(row["word"]): float(row["clean"]) for row in [*frequent, *others]}
 
     def fit() -> None:
         ordered = sorted(examples.items(), key=lambda example: (-example[1], example[0]))
         model.weights, model.bias = fit_machine(insults, ordered)
 
-    fit()
-    first = docs_broadcast(sample, model)
+    def mistaken(machine):
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = decisions(machine.value, group_rows(batch.column("word").to_pylist()))
+                yield pa.record_batch([batch.column("word"), batch.column("clean"), pa.array(found)], ["word", "clean", "decision"])
 
-    def mistaken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = decisions(first.value, group_rows(batch.column("word").to_pylist()))
-            yield pa.record_batch([batch.column("word"), batch.column("clean"), pa.array(found)], ["word", "clean", "decision"])
+        return find
 
-    taken = clean.mapInArrow(mistaken, "word binary, clean double, decision double")
-    hardest = taken.orderBy(F.desc("decision"), "word").limit(CLEAN_EXAMPLES // 2).collect()
-    examples |= {bytes(row["word"]): float(row["clean"]) for row in hardest}
     fit()
+    for _ in range(ROUNDS):
+        taken = clean.mapInArrow(mistaken(docs_broadcast(sample, model)), "word binary, clean double, decision double")
+        hardest = taken.orderBy(F.desc("decision"), "word").limit(CLEAN_EXAMPLES // 2).collect()
+        examples |= {bytes(row["word"]): float(row["clean"]) for row in hardest}
+        fit()
 
     # Decisions of the sample, counted in steps of a hundredth, fit the curve.
     scored = decided(sample, model, ["toxic"])
@@ -331,6 +388,17 @@ def learn_from_sample(sample: DataFrame, shares: dict[int, float]) -> ToxicityMo
     return model
 
 
+def shortest(found: list[tuple[bytes, float]]) -> list[tuple[bytes, float]]:
+    """The spans that hold no span listed before them."""
+    kept: dict[bytes, float] = {}
+    for word, documents in found:
+        groups = word[1:-1].split(b"\0")
+        parts = [b"\0".join(groups[i:j]) for i in range(len(groups)) for j in range(i + 1, len(groups) + 1)]
+        if not any(b"\0" + part + b"\0" in kept for part in parts):
+            kept[word] = documents
+    return list(kept.items())
+
+
 def docs_broadcast(df: DataFrame, model: ToxicityModel):
     """The model in every executor: one table of fixed size."""
     return df.sparkSession.sparkContext.broadcast(model)
@@ -354,11 +422,14 @@ def decided(docs: DataFrame, model: ToxicityModel, columns: list[str], text: str
                 texts = [text.lower() for text in raw]
                 worst, sentences = np.full(len(texts), NOTHING), [None] * len(texts)
                 if model.weights is not None:
-                    groups = letter_groups(texts)
-                    found = decisions(model, groups) if len(groups.start) else np.empty(0)
-                    by_text = np.lexsort((-found, groups.text))
-                    first = by_text[np.unique(groups.text[by_text], return_index=True)[1]]
-                    worst[groups.text[first]] = np.maximum(found[first], NOTHING)
+                    groups = spans(letter_groups(texts))
+                    found = np.maximum(decisions(model, groups), NOTHING)
+                    # Spans are in the order of their texts.
+                    own, start = np.unique(groups.text, return_index=True)
+                    if len(own):
+                        worst[own] = np.maximum.reduceat(found, start)
+                    is_worst = np.flatnonzero(found == worst[groups.text])
+                    first = is_worst[np.unique(groups.text[is_worst], return_index=True)[1]]
                     for group in first:
                         i = groups.text[group]
                         same = len(raw[i]) == len(texts[i])
