@@ -131,10 +131,10 @@ def test_copies_and_other_parameters_are_leaks(spark, documents):
         "So. " + ITEM + ". Yes.", "So " + OTHER, ITEM.upper(), "A train leaves Paris at 7 and then stops.", None, "", "what is it", "x alpha beta gamma delta epsilon y"
     )
     rows = {(row.doc_id, row.item_id): row for row in decontamination.contamination(docs, benchmark).collect()}
-    assert set(rows) == {(0, 1), (1, 1), (2, 1), (7, None)}
+    assert set(rows) == {(0, 1), (1, 1), (2, 1), (6, 4), (7, None)}
     assert not rows[0, 1].reparameterised and rows[1, 1].reparameterised and rows[0, 1].share == 1
     kept = decontamination.without_leaks(docs.selectExpr("*", "1 AS id", "2 AS h"), benchmark)
-    assert sorted(row.doc_id for row in kept.collect()) == [3, 4, 5, 6]
+    assert sorted(row.doc_id for row in kept.collect()) == [3, 4, 5]
     assert decontamination.contamination(docs, benchmark.limit(0)).count() == 0
     assert decontamination.contamination(docs.limit(0), benchmark).count() == 0
 
@@ -182,6 +182,14 @@ def test_given_leaks_are_found(spark, small):
     assert expected and found >= expected and len(found) <= len(expected) + 2
 
 
+def test_items_of_one_to_three_words_as_sentences_of_their_own(spark, documents):
+    items = ["Name three primes", "Why?", "Who? When?", "2 + 2 ="]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["name three primes", "Quiz. Name three primes! 2, 3, 5", "He could name three primes at once.", "So\nwhy\nnot", "why not", "Who? When? Where", "who when", "2 2", "2 2 2"]
+    found = {(row.doc_id, row.item_id) for row in decontamination.contamination(documents(*texts), benchmark).collect()}
+    assert found == {(0, 0), (1, 0), (3, 1), (5, 2), (6, 2), (7, 3)}
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 

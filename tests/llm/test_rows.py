@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -166,6 +167,25 @@ def test_license_phrases_equal_brute_force(spark, middle):
         assert row.base_labels == ",".join(labels) and set(labels) <= set(row.labels.split(",")) | {""} and 0 <= row.score <= 1
 
 
+def test_many_license_matches_in_one_text(spark):
+    times = 16000
+    texts = ["mit license " * times, "x under the mit license cc by nc " * 300, "cc by nc"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = time.perf_counter()
+    many, mixed, one = licenses.scan(docs, ["doc_id"]).orderBy("doc_id").collect()
+    assert time.perf_counter() - start < 30
+    assert (many.n_words, many.n_base, many.labels) == (2 * times, 0, "mit") and one.labels == "cc-by-nc"
+    assert (mixed.n_base, mixed.first_word, mixed.last_word) == (600, 1, 299 * 8 + 5)
+
+
+def test_license_intervals_have_their_places(spark):
+    text = " a b cc d b cc b" * 100 + " "
+    rule = F.struct(F.lit(1).alias("priority"), F.lit("l").alias("label"), F.lit(0.5).alias("confidence"), F.lit(" b(?= )").alias("expression"))
+    row = spark.range(1).select(licenses.intervals_of(F.lit(text), rule).alias("all"), licenses.intervals_of(F.lit(" x "), rule).alias("none")).first()
+    places = [i for i, word in enumerate(text.split()) if word == "b"]
+    assert [(each.start, -each.left) for each in row["all"]] == [(i, i + 1) for i in places] and row["none"] == []
+
+
 @pytest.mark.parametrize(
     ("text", "labels"),
     [

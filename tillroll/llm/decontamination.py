@@ -17,12 +17,13 @@ windows of the item, or all of them if it has fewer.
 Exact copies do not depend on templates, so neither on the reading of a capitalised word
 nor on the number of literals: a document that holds all words of an item in a row is
 contaminated by it, with all its windows. The first ``LITERALS`` words of the items choose
-the places where whole items are looked for.
+the places where whole items are looked for. An item of fewer words would be found by
+chance in most texts, so it must stand there as a line, a sentence or several of its own.
 
 Before the join, document windows are tested against a bit set of fixed size that holds
 all benchmark windows, so hardly any other window is shuffled, however large either side.
 
-Null and empty texts match nothing, nor do items of fewer than ``LITERALS`` words. Rows with the same
+Null and empty texts match nothing, nor do items without words. Rows with the same
 id count as one document (or item); so do rows without an id.
 """
 
@@ -87,7 +88,7 @@ SALTS = mix(np.arange(200, 202, dtype=np.uint64))
 
 @dataclass
 class Tokens:
-    """Canonical tokens of several texts: hash, filler hash, whether literal, and texts' ranges; plain words too."""
+    """Canonical tokens of several texts: hash, filler hash, whether literal, and texts' ranges; plain words too, and which open a sentence or line."""
 
     hashes: np.ndarray
     fillers: np.ndarray
@@ -95,6 +96,7 @@ class Tokens:
     bounds: np.ndarray
     words: np.ndarray
     word_bounds: np.ndarray
+    opens: np.ndarray
 
 
 def lowered(texts: pa.Array) -> pa.Array:
@@ -115,7 +117,7 @@ def canonical(texts: pa.Array) -> Tokens:
     if not len(start):
         none = np.empty(0, np.uint64)
         nowhere = np.zeros(len(bounds), np.int64)
-        return Tokens(none, none, np.empty(0, bool), nowhere, none, nowhere)
+        return Tokens(none, none, np.empty(0, bool), nowhere, none, nowhere, np.empty(0, bool))
     number = DIGIT[data[start]]
     same_text = np.concatenate([[False], text[1:] == text[:-1]])
     after_number = np.concatenate([[False], number[:-1]]) & same_text
@@ -133,7 +135,7 @@ def canonical(texts: pa.Array) -> Tokens:
     kind = kind[first]
     hashes = np.where(kind == LITERAL, words[first], PLACEHOLDERS[kind])
     return Tokens(
-        hashes, fillers, kind == LITERAL, np.searchsorted(start[first], bounds), words, np.searchsorted(start, bounds)
+        hashes, fillers, kind == LITERAL, np.searchsorted(start[first], bounds), words, np.searchsorted(start, bounds), ~inside
     )
 
 
@@ -156,11 +158,12 @@ class WordRuns:
 
 
 def whole_items(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(h, text, place, n_words) of every item with enough words, and of its first words."""
+    """(h, text, place, n_words) of every item with words, and of its first words."""
     first, counts = tokens.word_bounds[:-1], np.diff(tokens.word_bounds)
     runs_of = WordRuns(tokens.words)
-    text = np.flatnonzero(counts >= LITERALS)
-    hashes = [runs_of.hashes(first[text], counts[text], WHOLE), runs_of.hashes(first[text], LITERALS, ANCHOR)]
+    text = np.flatnonzero(counts)
+    anchors = np.minimum(counts[text], LITERALS)
+    hashes = [runs_of.hashes(first[text], counts[text], WHOLE), runs_of.hashes(first[text], anchors, ANCHOR)]
     return np.concatenate(hashes), np.tile(text, 2), np.repeat([WHOLE, ANCHOR], len(text)), np.tile(counts[text], 2)
 
 
@@ -168,10 +171,21 @@ def whole_copies(tokens: Tokens, item_sizes: list[int], wanted) -> tuple[np.ndar
     """(h, text) of the runs of words that may be a whole item, once per text."""
     runs_of = WordRuns(tokens.words)
     hashes, texts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    opening = np.flatnonzero(tokens.opens)
+    closed = np.append(tokens.opens, True)
+    for size in item_sizes:
+        if size < LITERALS:
+            text = np.searchsorted(tokens.word_bounds, opening, "right") - 1
+            here = opening + size <= tokens.word_bounds[text + 1]
+            here[here] = closed[opening[here] + size]
+            hashes.append(runs_of.hashes(opening[here], size, WHOLE))
+            texts.append(text[here])
     at = np.arange(max(len(tokens.words) - LITERALS + 1, 0))
     at = at[wanted.has(runs_of.hashes(at, LITERALS, ANCHOR))]
     text = np.searchsorted(tokens.word_bounds, at, "right") - 1
     for size in item_sizes:
+        if size < LITERALS:
+            continue
         here = at + size <= tokens.word_bounds[text + 1]
         hashes.append(runs_of.hashes(at[here], size, WHOLE))
         texts.append(text[here])

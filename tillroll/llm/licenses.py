@@ -11,7 +11,8 @@ its rules is the score.
 The intervals are sorted by start and falling end, so one pass with the farthest end per
 priority finds the suppressed ones. Everything happens within the row: there is no
 shuffle, and a hot phrase or source is no hot spot. Null texts are empty, and empty texts
-have no label and score 0.
+have no label and score 0. Words of a text are counted once per rule, and intervals are put
+together in blocks, so a text with very many matches takes time in proportion to them.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ PHRASES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PRIORITIES = sorted({priority for priority, _, _ in FORMS})
+#: Intervals that are put together at a time.
+BLOCK = 128
 INTERVAL = "struct<start: int, left: int, priority: int, label: string, confidence: double>"
 
 
@@ -70,22 +73,43 @@ def intervals_of(text: Column, rule: Column) -> Column:
     """
     between = F.split(text, rule["expression"], -1)
     matched = F.regexp_extract_all(text, rule["expression"], F.lit(0))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{INTERVAL}>").alias("found"))
+    counts = F.zip_with(between, matched, lambda part, match: F.struct(words_in(part).alias("before"), words_in(match).alias("size")))
+    # There is one part more than matches.
+    return F.flatten(bound(F.filter(counts, lambda count: count["size"].isNotNull()), lambda own: blocks_of(own, rule)))
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + words_in(F.get(between, i))
-        end = start + words_in(F.get(matched, i))
-        interval = F.struct(
-            start.alias("start"),
+
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def blocks_of(counts: Column, rule: Column) -> Column:
+    """Blocks of ``BLOCK`` intervals, so that no long array grows by one element at a time."""
+    interval = F.array().cast(f"array<{INTERVAL}>")
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{INTERVAL}>>").alias("blocks"))
+    firsts = F.filter(F.sequence(F.lit(1), F.size(counts) + 1, F.lit(BLOCK)), lambda first: first <= F.size(counts))
+
+    def place(state: Column, count: Column) -> Column:
+        begin = state["at"] + count["before"]
+        end = begin + count["size"]
+        found = F.struct(
+            begin.alias("start"),
             (-end).alias("left"),
             rule["priority"].alias("priority"),
             rule["label"].alias("label"),
             rule["confidence"].alias("confidence"),
         )
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(interval)).alias("found"))
+        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+
+    def block(state: Column, first: Column) -> Column:
+        empty = F.struct(state["at"].alias("at"), interval.alias("found"))
+        placed = F.aggregate(F.slice(counts, first, BLOCK), empty, place)
+        return bound(
+            placed,
+            lambda own: F.struct(own["at"].alias("at"), F.concat(state["blocks"], F.array(own["found"])).alias("blocks")),
+        )
 
-    places = F.filter(F.sequence(F.lit(0), F.size(matched)), lambda i: i < F.size(matched))
-    return F.aggregate(places, empty, step, lambda state: state["found"])
+    return F.aggregate(firsts, start, block, lambda state: state["blocks"])
 
 
 def kept_labels(intervals: Column) -> Column:
