@@ -1,11 +1,11 @@
 from decimal import Decimal
 
 import pytest
-from frames import line
+from frames import line, settings
 
 from tillroll.functions.columns import strip_whitespace
 from tillroll.operators import cleaning
-from tillroll.plans.cleaning import clean_transactions, cleaning_funnel, product_lines, valid_lines
+from tillroll.plans.cleaning import balanced_lines, clean_transactions, cleaning_funnel, product_lines, valid_lines
 from tillroll.sources.order_tables import invoice_lines
 from tillroll.staging import stage
 from pyspark.sql import functions as F
@@ -159,3 +159,31 @@ def test_the_clean_reads_one_shuffle_for_lines_and_balances(spark):
     cleaned.collect()
     plan = cleaned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan and "staged" not in plan
+
+
+def test_whole_rows_are_shuffled_once(spark, raw_frame):
+    """Balances and their ids are shuffled beside the rows; the rows are not for the balance rule."""
+    raw = stage(raw_frame(line(), line(), line(customer_id=2, quantity=-1)))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = clean_transactions(raw)._jdf.queryExecution().executedPlan().toString()
+    # Either side of the rule lists the one shuffle of the rows; it is run once.
+    assert plan.count("REPARTITION_BY_COL") == 2
+    assert plan.count("ENSURE_REQUIREMENTS") == 2
+
+
+def test_a_balance_adds_up_all_parts_of_a_customer(raw_frame):
+    lines = [
+        line(invoice=invoice, stock_code=code, customer_id=customer, quantity=quantity)
+        for customer, debt in ((1, 101), (2, 100), (None, 500))
+        for invoice, code, quantity in [
+            *((None if i == 5 else str(i), None if i % 7 == 0 else str(i % 40), 1) for i in range(100)),
+            ("C1", "r", -debt),
+        ]
+    ]
+    df = raw_frame(*lines, *lines)
+    kept = balanced_lines(df)
+    assert kept.columns == product_lines(df).columns
+    assert values(kept, "customer_id") == [2] * 101
+    assert sorted(kept.collect(), key=str) == sorted(cleaning.drop_negative_balances(product_lines(df)).collect(), key=str)
+    parts = cleaning.deal_by_customer(df).select("customer_id", cleaning.PART).distinct()
+    assert parts.filter("customer_id = 2").count() == cleaning.PARTS
