@@ -187,3 +187,10 @@ def test_a_balance_adds_up_all_parts_of_a_customer(raw_frame):
     assert sorted(kept.collect(), key=str) == sorted(cleaning.drop_negative_balances(product_lines(df)).collect(), key=str)
     parts = cleaning.deal_by_customer(df).select("customer_id", cleaning.PART).distinct()
     assert parts.filter("customer_id = 2").count() == cleaning.PARTS
+
+
+def test_texts_do_not_travel_to_the_orders(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = invoice_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    shuffled = plan.split("Exchange hashpartitioning(l_orderkey")[1].split("\n")[1]
+    assert "returned" in shuffled and "description" not in shuffled and "invoice" not in shuffled
