@@ -47,3 +47,15 @@ def line(
         customer_id,
         country,
     )
+
+
+def counted(df):
+    """``df`` and a counter of its rows, which grows each time they are computed."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen

@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from frames import line
+from frames import counted, line
 from pyspark.sql import functions as F
 
 from tillroll.operators import profiling, sampling
@@ -172,3 +172,12 @@ def test_sample_ends_inside_a_bucket(spark, monkeypatch):
     samples = [{row.id for row in sampling.sample_rows(df, n).collect()} for n in (1, 10, 999, 1000, 2999)]
     assert [len(ids) for ids in samples] == [1, 10, 999, 1000, 2999]
     assert all(small < large for small, large in zip(samples, samples[1:]))
+
+
+def test_both_ends_read_rows_computed_once(spark):
+    df, seen = counted(spark.range(300).selectExpr("id", "id % 7 AS x"))
+    ends = profiling.head_and_tail(df, "id", ["x", "id"], 2)
+    assert sorted(tuple(row) for row in ends.collect()) == [
+        ("head", 1, 5, 299), ("head", 2, 4, 298), ("tail", 1, 0, 0), ("tail", 2, 1, 1),
+    ]
+    assert seen.value == 300

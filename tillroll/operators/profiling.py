@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions.columns import one_row_each
 from tillroll.operators.ordering import asked_columns, describe_counts, value_counts
+from tillroll.staging import stage
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -159,8 +160,10 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def head_and_tail(df: DataFrame, by: str, columns: list[str], k: int = 50) -> DataFrame:
     """The first and last ``k`` rows in descending order of ``by``, both numbered from the end.
 
-    Remaining ties go by all columns, so the choice does not depend on the layout.
+    Remaining ties go by all columns, so the choice does not depend on the layout. ``df`` is
+    computed once and staged, as both ends read it.
     """
+    df = stage(df, "ends")
     others = [name for name in df.columns if name != by]
     ends = {
         "head": [F.col(by).desc_nulls_last(), *[F.col(name).asc_nulls_last() for name in others]],
