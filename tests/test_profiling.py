@@ -174,6 +174,11 @@ def test_sample_ends_inside_a_bucket(spark, monkeypatch):
     assert all(small < large for small, large in zip(samples, samples[1:]))
 
 
+def test_a_sampled_frame_is_computed_once(spark):
+    df, seen = counted(spark.range(300).selectExpr("id", "id % 7 AS x"))
+    assert sampling.sample_rows(df, 50).count() == 50 and seen.value == 300
+
+
 def test_both_ends_read_rows_computed_once(spark):
     df, seen = counted(spark.range(300).selectExpr("id", "id % 7 AS x"))
     ends = profiling.head_and_tail(df, "id", ["x", "id"], 2)
