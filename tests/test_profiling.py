@@ -4,7 +4,7 @@ import pytest
 from frames import counted, line
 from pyspark.sql import functions as F
 
-from tillroll.operators import profiling, sampling
+from tillroll.operators import distributions, profiling, sampling
 
 
 @pytest.fixture
@@ -186,3 +186,8 @@ def test_both_ends_read_rows_computed_once(spark):
         ("head", 1, 5, 299), ("head", 2, 4, 298), ("tail", 1, 0, 0), ("tail", 2, 1, 1),
     ]
     assert seen.value == 300
+
+
+def test_density_computes_its_frame_once(spark):
+    df, seen = counted(spark.range(300).selectExpr("id", "id % 7 AS x"))
+    assert distributions.density(df, ["x"], n=50, points=5).count() == 5 and seen.value == 300
