@@ -1,13 +1,16 @@
+import gzip
 import uuid
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from frames import line, settings
+from frames import counted, line, settings
 from pyspark.sql import functions as F
 
+from tillroll import staging
 from tillroll.operators.cleaning import add_calendar, add_revenue
 from tillroll.plans.cleaning import clean_transactions
+from tillroll.registry import queries
 from tillroll.sources import files, sorted_tables, tables
 from tillroll.sources.names import clean_column_name, clean_column_names, identifier
 from tillroll.sources.schemas import (
@@ -253,3 +256,26 @@ def test_sorted_table(spark, tmp_path):
     hot = spark.range(4000).selectExpr("if(id < 3000, 5, id) AS id")
     ordered = sorted_tables.sorted_copy(hot, "id", 8).orderBy("position").collect()
     assert [row.id for row in ordered] == sorted(row.id for row in ordered) and len(ordered) == 4000
+
+
+def test_compressed_csv(spark, processed, tmp_path):
+    path = tmp_path / "packed"
+    files.write_csv(processed, str(path), compression="gzip")
+    assert list(path.glob("*.csv.gz")) and not list(path.glob("*.csv"))
+    expected = processed.replace("", None, ["description"])
+    assert sorted(files.read_processed_transactions(spark, str(path)).collect(), key=str) == sorted(expected.collect(), key=str)
+    # Bad rows are found in it by line.
+    with gzip.open(path / "part-x.csv.gz", "wt") as packed:
+        packed.write(",".join(TRANSACTIONS.fieldNames()) + "\n1,2,x,many,2010-12-01 08:26:00,1.00,7,UK,3.00,2010,12\n")
+    found = files.bad_rows(spark, str(path), TRANSACTIONS).collect()
+    assert [(row.file.split("/")[-1], row.line, row.problem) for row in found] == [("part-x.csv.gz", 2, "quantity")]
+
+
+def test_a_tier_and_its_dirty_file_come_from_rows_computed_once(raw_frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    rows = [line(quantity=q, stock_code=code) for q in range(1, 40) for code in ("POST", "1")]
+    raw, seen = counted(raw_frame(*rows))
+    tier = queries.typed_tier(raw)
+    assert sorted(tier.select("quantity", "stock_code").collect()) == sorted((row[3], row[1]) for row in rows)
+    assert seen.value == len(rows)
+    assert list(tmp_path.rglob("dirty-csv-*/*.csv.gz")) and not list(tmp_path.rglob("*.csv"))

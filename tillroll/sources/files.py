@@ -50,10 +50,11 @@ def read_processed_transactions(spark: SparkSession, path: str, **options: bool)
     return typed_tier(spark, path, new_path(spark, "processed-tier"), TRANSACTIONS, **options)
 
 
-def write_csv(df: DataFrame, path: str, first: str | None = None) -> None:
+def write_csv(df: DataFrame, path: str, first: str | None = None, compression: str = "none") -> None:
     """Write with a header, texts unchanged and no row index; parent folders are made as needed.
 
-    ``first`` names the key column to put in front.
+    ``first`` names the key column to put in front. With ``compression="gzip"`` files take
+    about a quarter of the disk; each is then read by one task, as it was written by one.
     """
     if first:
         df = df.select(first, *[name for name in df.columns if name != first])
@@ -64,6 +65,7 @@ def write_csv(df: DataFrame, path: str, first: str | None = None) -> None:
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .option("compression", compression)
         .csv(path)
     )
 
