@@ -271,6 +271,13 @@ def test_compressed_csv(spark, processed, tmp_path):
     assert [(row.file.split("/")[-1], row.line, row.problem) for row in found] == [("part-x.csv.gz", 2, "quantity")]
 
 
+@pytest.mark.parametrize("query", [queries.csv_round_trip])
+def test_scratch_files_of_the_processed_table_are_compressed(processed, tmp_path, monkeypatch, query):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    assert query(processed).count() == processed.count()
+    assert list(tmp_path.rglob("*.csv.gz")) and not list(tmp_path.rglob("*.csv"))
+
+
 def test_a_tier_and_its_dirty_file_come_from_rows_computed_once(raw_frame, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
     rows = [line(quantity=q, stock_code=code) for q in range(1, 40) for code in ("POST", "1")]
