@@ -271,7 +271,7 @@ def test_compressed_csv(spark, processed, tmp_path):
     assert [(row.file.split("/")[-1], row.line, row.problem) for row in found] == [("part-x.csv.gz", 2, "quantity")]
 
 
-@pytest.mark.parametrize("query", [queries.csv_round_trip])
+@pytest.mark.parametrize("query", [queries.csv_round_trip, queries.table_load])
 def test_scratch_files_of_the_processed_table_are_compressed(processed, tmp_path, monkeypatch, query):
     monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
     assert query(processed).count() == processed.count()
