@@ -191,3 +191,15 @@ def test_both_ends_read_rows_computed_once(spark):
 def test_density_computes_its_frame_once(spark):
     df, seen = counted(spark.range(300).selectExpr("id", "id % 7 AS x"))
     assert distributions.density(df, ["x"], n=50, points=5).count() == 5 and seen.value == 300
+
+
+def test_a_sample_of_some_columns_stages_these_and_a_digest(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id", "id % 7 AS x", "repeat('text', 9) AS `a.b`").unionByName(spark.sql("SELECT 5L AS id, 5L AS x, 'y' AS `a.b`"))
+    whole = sampling.sample_rows(df, 50).select("x", "`a.b`")
+    staged, stage = {}, sampling.stage
+    monkeypatch.setattr(sampling, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    some = sampling.sample_rows(df, 50, columns=["x", "a.b"])
+    assert some.columns == ["x", "a.b"] and sorted(some.collect()) == sorted(whole.collect())
+    staged.clear()
+    distributions.density(df, ["x"], n=50, points=5)
+    assert staged["sampled"].columns == ["x", "_row"]
