@@ -104,6 +104,19 @@ def test_emptied_and_repeated_rows_and_extra_columns(documents):
     assert sentences.without_repeats(docs.limit(0)).count() == 0 and sentences.removed_spans(docs.limit(0)).count() == 0
 
 
+def test_only_runs_that_may_be_repeated_are_written_with_their_place(documents, monkeypatch):
+    rng = random.Random(5)
+    sentence = lambda: " ".join(prose(rng, 9)) + ". "
+    passage = "".join(sentence() for _ in range(4))
+    staged, stage = {}, sentences.stage
+    monkeypatch.setattr(sentences, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    docs = documents(*["".join(sentence() for _ in range(20)) + passage + sentence() for _ in range(3)])
+    cut = {row.doc_id: row.text for row in sentences.without_repeats(docs).collect()}
+    assert passage in cut[0] and passage not in cut[1] and passage not in cut[2]
+    # Four sentences have two runs of three, in each of three documents.
+    assert staged["found"].count() == 6 and staged["found"].select("h").distinct().count() == 2
+
+
 def test_different_texts_under_one_id_or_without_id_are_cut_on_their_own(documents):
     rng = random.Random(4)
     sentence = lambda: " ".join(prose(rng, 9)) + ". "

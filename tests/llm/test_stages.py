@@ -33,3 +33,21 @@ def test_mixed_words_come_near_targets_whatever_the_ids(documents, ids):
     taken = mixing.mixed_documents(docs).groupBy("source").agg(F.sum(F.col("copies") * size).alias("taken")).collect()
     for row in taken:
         assert abs(row.taken - asked[row.source]) <= 3 * 11
+
+
+@pytest.mark.parametrize("log_bits", [6, mixing.LOG_BITS])
+def test_most_rows_of_the_mix_are_known_without_the_list(spark, documents, monkeypatch, log_bits):
+    """Copies of a row, and rows that share bits of the small sets, meet the list; all have its copies."""
+    monkeypatch.setattr(mixing, "LOG_BITS", log_bits)
+    texts = [f"text {i} " + "word " * (i % 9) for i in range(90)] + ["", None, "twice is here"] + ["twice is here"] * 2
+    docs = documents(*texts, ids=[*range(93), 92, 92])
+    docs = docs.withColumn("source", F.concat(F.lit("s"), (F.coalesce("doc_id", F.lit(0)) % 3).cast("string")))
+    asked = {row.doc_id: row.copies for row in mixing.mixture(docs).groupBy("doc_id").agg(F.sum("copies").alias("copies")).collect()}
+    taken = mixing.mixed_documents(docs).collect()
+    assert sorted(row.doc_id for row in taken) == sorted(i for i, copies in asked.items() if copies)
+    assert all(row.copies == asked[row.doc_id] for row in taken)
+    chosen = spark.createDataFrame([(i, i % 4, 1 + (i > 90)) for i in range(100)], "_row long, copies long, _rows long")
+    known = chosen.select("_rows", "copies", mixing.known_copies(chosen)(F.col("_row")).alias("known")).collect()
+    assert all(row.known == -1 for row in known if row._rows > 1)
+    assert all(row.known in (-1, row.copies) for row in known)
+    assert log_bits == 6 or all(row.known == row.copies for row in known if row._rows == 1)

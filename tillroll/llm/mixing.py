@@ -24,15 +24,16 @@ from __future__ import annotations
 
 import random
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.passing import row_key
-from tillroll.llm.text import NOT_BLANK, joined, pieces, runs
+from tillroll.llm.passing import id_set, row_key
+from tillroll.llm.text import NOT_BLANK, joined, mix, pieces, runs
 from tillroll.staging import stage
 
 MOST_COPIES = 3
@@ -41,6 +42,8 @@ BLOCK = 2000
 #: Documents per source that are decided in the landing, besides the two left by the flight.
 LANDING = 64
 CLOSE = 1e-9
+#: Bits of the set of rows that are taken so many times.
+LOG_BITS = 24
 
 
 def sizes(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
@@ -234,18 +237,41 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A row is known by its id, text and source, so rows without an id, or with one id and
     different texts, are documents of their own. Rows that are equal in all three become
-    one, with the copies of all of them. An input column ``copies`` is replaced.
+    one, with the copies of all of them. An input column ``copies`` is replaced. Only rows
+    whose copies ``known_copies`` leaves open are shuffled.
     """
     columns = [name for name in docs.columns if name != "copies"]
     whole = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("_whole")
     source = F.col("source").cast("string").alias("source")
     keyed = docs.select("doc_id", row_key().alias("row"), source, F.col("text").alias("text"), whole)
     chosen = mixed_rows(keyed).groupBy(F.col("row").alias("_row"), F.col("source").alias("_of"))
-    chosen = chosen.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("_rows")).filter("copies > 0")
+    chosen = stage(chosen.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("_rows")), "chosen")
+    rows = keyed.drop("doc_id", "text").withColumn("_copies", known_copies(chosen)(F.col("row")))
+    sure = rows.filter("_copies > 0").select("_whole.*", F.col("_copies").cast("long").alias("copies"))
+    rows, chosen = rows.filter("_copies < 0").drop("_copies"), chosen.filter("copies > 0")
     same = (F.col("row") == F.col("_row")) & F.col("source").eqNullSafe(F.col("_of"))
-    rows = keyed.drop("doc_id", "text")
     # Staged apart, the planner knows that those of several rows are few.
     once = rows.join(stage(chosen.filter("_rows = 1"), "mixed"), same).select("_whole.*", "copies")
     often = rows.join(stage(chosen.filter("_rows > 1"), "mixed-copies"), same).groupBy("_row", "_of")
     often = often.agg(F.first("_whole").alias("_whole"), F.first("copies").alias("copies"))
-    return once.unionByName(often.select("_whole.*", "copies"))
+    return sure.unionByName(once).unionByName(often.select("_whole.*", "copies"))
+
+
+def known_copies(chosen: DataFrame) -> Callable[[Column], Column]:
+    """The copies of a row by its key, as a column; -1 if the row has to meet the list ``chosen``.
+
+    There is one bit set of fixed size per number of copies. A key in one of them alone has
+    that number. Keys of several rows are in two sets, and so are a few others by chance, the
+    more the larger the list.
+    """
+    several = F.col("_rows") > 1
+    numbers = range(MOST_COPIES + 1)
+    sets = [id_set(chosen.filter(several | (F.col("copies") == n)), "_row", LOG_BITS) for n in numbers]
+
+    @F.pandas_udf("int")
+    def copies(keys: pd.Series) -> pd.Series:
+        hashes = mix(keys.to_numpy(np.int64).view(np.uint64))
+        listed = np.array([each.has(hashes) for each in sets])
+        return pd.Series(np.where(listed.sum(axis=0) == 1, listed.argmax(axis=0), -1).astype(np.int32))
+
+    return copies

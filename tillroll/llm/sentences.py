@@ -6,7 +6,8 @@ equal words, so a passage without punctuation has the same cuts in every documen
 sentence and takes consecutive ones until it has ``LEAST_SENTENCES`` and ``LEAST_WORDS``.
 Words are runs of characters other than blanks, compared with A-Z lower-cased.
 
-Runs with equal hashes are joined over all documents. The first occurrence, by document
+Runs with equal hashes are joined over all documents, without those whose first bits occur
+once, which is found out before. The first occurrence, by document
 and place, stays; sentences covered by any other occurrence are removed, together with
 the blanks up to the next sentence. A repetition within one document counts too.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.batches import small_batches
 from tillroll.llm.text import NOT_BLANK, ROOT, ROOT_INVERSE, Words, joined, mix, pieces, powers, words_of
 from tillroll.llm.passing import likely_and_others, type_list
-from tillroll.llm.vectors import bit_set
+from tillroll.llm.vectors import BitSet, bit_set
 from tillroll.staging import stage
 
 LEAST_SENTENCES = 3
@@ -40,6 +41,8 @@ CUT = np.uint64(5)
 #: Stands for a missing id, after all others.
 NO_ID = (1 << 63) - 1
 LOG_BITS = 25
+#: Bits of a hash that are left out where repeated runs are looked for.
+REST_BITS = np.uint64(24)
 
 ENDS = np.zeros(256, bool)
 ENDS[list(b".!?")] = True
@@ -96,12 +99,19 @@ def runs_of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Recor
             yield piece, data, words, Runs(data, words)
 
 
-def occurrences(wanted=None):
-    """(h, id, copy, place, n) of every run, or of those in the bit set ``wanted``."""
+def short_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(short, n): the first bits of the hashes of a piece's runs, and how often each occurs in it."""
+    for _, _, _, runs in runs_of_pieces(batches):
+        short, n = np.unique(runs.hashes >> REST_BITS, return_counts=True)
+        yield pa.record_batch([pa.array(short.view(np.int64)), pa.array(n.astype(np.int64))], ["short", "n"])
+
+
+def occurrences(wanted: BitSet):
+    """(h, id, copy, place, n) of every run whose hash may be in the bit set ``wanted``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, _, _, runs in runs_of_pieces(batches):
-            keep = np.ones(len(runs.hashes), bool) if wanted is None else wanted.has(runs.hashes)
+            keep = wanted.has(runs.hashes)
             ids, copies = (piece.column(name).to_numpy(zero_copy_only=False) for name in ("id", "copy"))
             yield pa.record_batch(
                 [
@@ -136,13 +146,14 @@ def repeated_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     small_batches(docs.sparkSession)
     rows = with_ids(docs, key, text)
-    runs = rows.mapInArrow(occurrences(), OCCURRENCE)
-    # Copies of a row are one occurrence; the smallest and largest differ if there are more.
+    # Most runs occur once: only the first bits of their hashes are shuffled.
+    counts = rows.mapInArrow(short_hashes, "short long, n long").groupBy("short").agg(F.sum("n").alias("n"))
+    likely = stage(counts.filter("n > 1").select(F.shiftleft("short", int(REST_BITS)).alias("h")), "likely")
+    found = stage(rows.mapInArrow(occurrences(bit_set(likely, "h", LOG_BITS)), OCCURRENCE), "found")
+    # Copies of a row are one occurrence, which comes first or not.
     where = F.struct(*DOCUMENT, "place")
-    repeated = runs.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).filter("first <> last")
-    repeated = stage(repeated.select("h", "first"), "repeated")
-    found = rows.mapInArrow(occurrences(bit_set(repeated, "h", LOG_BITS)), OCCURRENCE)
-    later = found.join(repeated, "h").filter(F.struct(*DOCUMENT, "place") != F.col("first"))
+    first = found.groupBy("h").agg(F.min(where).alias("first"))
+    later = found.join(first, "h").filter(where != F.col("first"))
     removed = F.struct("place", "n", F.col("first.id").alias("first_id"))
     return later.groupBy(*DOCUMENT).agg(F.collect_set(removed).alias("removed"))
 
@@ -210,9 +221,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     removed = stage(repeated_sentences(docs), "removed")
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    rows = with_ids(docs, "doc_id", "text", row)
+    rows = with_ids(docs, "doc_id", "text", row).drop("text")
     likely, others = likely_and_others(rows, removed, "id")
-    touched = likely.join(removed, DOCUMENT, "left").select("text", "row", "removed")
+    # The row holds the text, which meets the list once.
+    touched = likely.join(removed, DOCUMENT, "left").select(F.col("row.text").alias("text"), "row", "removed")
     cut_type = f"row {touched.schema['row'].dataType.simpleString()}, text string, spans {SPAN_TYPE}"
     cut = touched.mapInArrow(lambda batches: cut_texts(batches, ["row"]), cut_type)
     cut = cut.filter((F.size("spans") == 0) | (F.length(F.trim("text")) > 0))
