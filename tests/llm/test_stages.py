@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import mixing
+from tillroll.llm.batches import BATCH_BYTES
 
 CLASHING = ["_row", "_group", "_whole", "_gone", "_id", "_rows", "_predicted", "copies", "id", "h", "n"]
 
@@ -51,3 +52,17 @@ def test_most_rows_of_the_mix_are_known_without_the_list(spark, documents, monke
     assert all(row.known == -1 for row in known if row._rows > 1)
     assert all(row.known in (-1, row.copies) for row in known)
     assert log_bits == 6 or all(row.known == row.copies for row in known if row._rows == 1)
+
+
+def test_copies_of_a_row_are_looked_up_once_in_python(spark, documents):
+    """The sure rows, and those that meet one of the two lists, wait for one worker each, not two."""
+    docs = documents(*[f"text {i} " + "word " * (i % 9) for i in range(30)])
+    made = mixing.mixed_documents(docs)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 3
+
+
+def test_mixing_sends_texts_in_small_batches(spark, documents):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert mixing.mixture(documents("a text", "another one")).count() == 2
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(BATCH_BYTES)

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.batches import small_batches
 from tillroll.llm.passing import id_set, row_key
 from tillroll.llm.text import NOT_BLANK, joined, mix, pieces, runs
 from tillroll.staging import stage
@@ -214,6 +215,7 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """As ``mixture``, with the long ``row`` of every row. Ids decide the sample, not rows."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "row", "text")
     sized = stage(sizes(rows, ["doc_id", "source", "row"]), "sizes")
     goals = stage(targets(sized), "targets")
@@ -246,9 +248,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     keyed = docs.select("doc_id", row_key().alias("row"), source, F.col("text").alias("text"), whole)
     chosen = mixed_rows(keyed).groupBy(F.col("row").alias("_row"), F.col("source").alias("_of"))
     chosen = stage(chosen.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("_rows")), "chosen")
-    rows = keyed.drop("doc_id", "text").withColumn("_copies", known_copies(chosen)(F.col("row")))
+    known = known_copies(chosen)
+    rows = keyed.drop("doc_id", "text").withColumn("_copies", known(F.col("row")))
     sure = rows.filter("_copies > 0").select("_whole.*", F.col("_copies").cast("long").alias("copies"))
-    rows, chosen = rows.filter("_copies < 0").drop("_copies"), chosen.filter("copies > 0")
+    rows, chosen = rows.filter("_copies < 0").drop("_copies"), chosen.filter("copies > 0").filter(known(F.col("_row")) < 0)
     same = (F.col("row") == F.col("_row")) & F.col("source").eqNullSafe(F.col("_of"))
     # Staged apart, the planner knows that those of several rows are few.
     once = rows.join(stage(chosen.filter("_rows = 1"), "mixed"), same).select("_whole.*", "copies")
@@ -274,4 +277,4 @@ def known_copies(chosen: DataFrame) -> Callable[[Column], Column]:
         listed = np.array([each.has(hashes) for each in sets])
         return pd.Series(np.where(listed.sum(axis=0) == 1, listed.argmax(axis=0), -1).astype(np.int32))
 
-    return copies
+    return copies.asNondeterministic()
