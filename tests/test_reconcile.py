@@ -1,7 +1,12 @@
+import time
+from collections import defaultdict
+
 import pandas as pd
 import pytest
+from frames import counted
 from pyspark.sql import functions as F
 
+from tillroll.operators import reconcile as comparison
 from tillroll.operators.clustering import (
     assign_clusters,
     check_fixed_point,
@@ -11,6 +16,7 @@ from tillroll.operators.clustering import (
     silhouette,
 )
 from tillroll.operators.reconcile import reconcile
+from tillroll.registry.queries import reconcile_cleaning
 from tillroll.staging import stage
 
 SCHEMA = "customer_id int, score int, ratio double, segment string"
@@ -57,6 +63,61 @@ def test_hot_key_and_one_sided_columns(spark, sliced):
     assert sides == {"only_left": ("left", 0, None), "only_right": ("right", 0, None), "also_right": ("right", 0, None)}
 
 
+def by_hand(left, right):
+    """What ``reconcile`` has to find in rows of (k, a, b), in plain Python."""
+    sides = [defaultdict(list), defaultdict(list)]
+    for side, rows in zip(sides, (left, right)):
+        for key, *values in rows:
+            side[key].append([(value is not None, value) for value in values])
+    pairs = [pair for key in {*sides[0], *sides[1]} for pair in zip(sorted(sides[0][key]), sorted(sides[1][key]))]
+    more = [sum(len(rows) - 1 for rows in side.values() if rows) for side in sides]
+    alone = [len(rows) - len(pairs) for rows in (left, right)]
+    return {name: (len(pairs), sum(x[at] != y[at] for x, y in pairs), *alone, *more) for at, name in enumerate("ab")}
+
+
+@pytest.mark.parametrize("hot_rows, pass_rows", [(10**9, 10**9), (50, 10**9), (10**9, 500), (50, 500)])
+def test_hot_keys_and_passes_find_the_same(spark, sliced, monkeypatch, hot_rows, pass_rows):
+    monkeypatch.setattr(comparison, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(comparison, "HOT_SHARE", 20)
+    monkeypatch.setattr(comparison, "PASS_ROWS", pass_rows)
+    key = lambda i, n: None if i % 4 == 0 else 7 if i % 4 == 1 else i % n
+    left = [(key(i, 90), i % 6 or None, f"t{i * i % 11}" if i % 5 else None) for i in range(900)]
+    right = [(key(i, 97), i % 7 or None, f"t{i * i % 13}" if i % 5 else None) for i in range(800)]
+    frames = [spark.createDataFrame(rows, "k int, a int, b string").repartition(3) for rows in (left, right)]
+    found = {row.column: tuple(row)[2:4] + tuple(row)[5:] for row in comparison.reconcile(*frames, "k").collect()}
+    assert found == by_hand(left, right)
+
+
+def test_sides_are_read_for_the_keys_and_for_the_rows(spark):
+    sides, seen = zip(*(counted(spark.range(400).selectExpr("id % 90 AS k", f"id % {n} AS v")) for n in (6, 7)))
+    assert comparison.reconcile(*sides, "k").collect()[0].compared == 400
+    assert [count.value for count in seen] == [800, 800]
+
+
+def shuffle_mb(spark):
+    """Size of the shuffle files that lie on disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return sum(file.length() for file in files if file.getName().startswith("shuffle_")) / 1e6
+
+
+def test_reconciled_lines_leave_no_shuffle_files(spark):
+    lines = spark.range(60_000).selectExpr(
+        "string(id % 20000) AS invoice", "string(id % 997) AS stock_code", "concat('jug ', id * 31 % 60000) AS description",
+        "int(id % 9) AS quantity", "timestamp_ntz'2011-01-01' AS invoice_date", "decimal(id % 50) AS price",
+        "int(id % 3000) AS customer_id", "'France' AS country",
+    )
+    before = shuffle_mb(spark)
+    row = reconcile_cleaning(lines).collect()[0]
+    # Lines without a quantity stay, those without a price go.
+    assert (row.compared, row.left_only, row.right_only) == (58_800, 1_200, 0)
+    # Lines dealt out once are over 2 MB. Files are deleted in the background.
+    until = time.time() + 30
+    while shuffle_mb(spark) - before > 0.5 and time.time() < until:
+        time.sleep(0.2)
+    assert shuffle_mb(spark) - before < 0.5
+
+
 @pytest.mark.parametrize("a, b", [(1.0, 1 + 0.9e-5), (1.0, 1 + 1.1e-5), (0.0, 0.9e-8), (0.0, 1.1e-8), (-2.0, 2.0)])
 def test_tolerance_is_that_of_pandas(spark, a, b):
     try:

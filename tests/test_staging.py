@@ -38,3 +38,10 @@ def test_stage_each_has_a_table_per_value(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, v int")
     parts = staging.stage_each(df, "k", ["a", "b"])
     assert sorted(row.v for row in parts["a"].collect()) == [1, 3] and parts["b"].columns == ["v"]
+
+
+def test_stage_compact_keeps_rows_and_the_setting(spark):
+    before = spark.conf.get(staging.CLEANUP, None)
+    df = spark.range(50).selectExpr("id % 7 AS k", "id AS v").repartition("k")
+    assert sorted(staging.stage_compact(df).collect()) == sorted(df.collect())
+    assert spark.conf.get(staging.CLEANUP, None) == before

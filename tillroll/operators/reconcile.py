@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.columns import one_row_each
 from tillroll.operators.ordering import running_total
-from tillroll.staging import stage
+from tillroll.staging import stage, stage_compact
 
 # Tolerances of a floating-point comparison.
 RELATIVE_TOLERANCE = 1e-5
 ABSOLUTE_TOLERANCE = 1e-8
 
+# A key in more rows than both of these, the second as one of so many of all, is not left to one task.
+HOT_ROWS = 100_000
+HOT_SHARE = 1_000
+#: Values of the hash by which rows are counted to find such keys.
+BUCKETS = 4_096
+# From so many rows on they are dealt out in several passes, of which each deletes its shuffle files.
+PASS_ROWS = 5_000_000
+PASSES = 3
+
 
 def close(a: Column, b: Column) -> Column:
     """Equal within the larger of both tolerances, relative to the larger number; nulls match nulls."""
@@ -22,22 +33,52 @@ def close(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= reach, F.lit(False))
 
 
-def numbered(df: DataFrame, key: str, columns: list[str], repeated: DataFrame) -> DataFrame:
-    """Add ``_place``: 1 for a key that is in one row of either side, else the place of a row of its key.
+def bucket() -> Column:
+    """A few values of a hash of the key ``k``."""
+    return F.pmod(F.xxhash64("k"), F.lit(BUCKETS))
+
+
+def hot_keys(keys: DataFrame, counts: dict[int, int]) -> DataFrame | None:
+    """Staged values of ``k`` in more than ``HOT_ROWS`` rows and more than one of ``HOT_SHARE`` of all, if any.
+
+    ``counts`` are the rows by ``bucket``; only keys in one with that many rows are counted themselves.
+    """
+    least = max(HOT_ROWS, sum(counts.values()) // HOT_SHARE)
+    buckets = [number for number, n in counts.items() if n > least]
+    if not buckets:
+        return None
+    counted = keys.filter(bucket().isin(buckets)).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    hot = stage(counted.filter(F.col("n") > least).select("k"), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def met_by_key(rows: DataFrame) -> DataFrame:
+    """Add ``place``, that of a row in its key and side, and ``other``, the right row at the place of a left one.
 
-    Rows of a key are placed in the order of ``columns``. Equal ones are counted first, and
-    places run over slices of rows, so a key may hold any share of them.
+    Rows are dealt out by key once, and the rows of a key are in one task.
     """
-    again = repeated.select(F.col(key).alias("_again"))
-    met = df.withColumn("_key", F.struct(F.col(key).alias("k")))
-    same = F.col(key).eqNullSafe(F.col("_again"))
-    single = met.join(again, same, "left_anti").drop("_key").withColumn("_place", F.lit(1).cast("bigint"))
-    many = met.join(again, same, "left_semi")
-    rest = [name for name in df.columns if name not in (key, *columns)]
-    counted = many.groupBy("_key", key, *columns, *rest).agg(F.count(F.lit(1)).alias("_copies"))
-    upto = running_total(counted, ["_key"], [*columns, *rest], "_copies")
-    places = F.sequence(F.col("upto") - F.col("_copies") + 1, F.col("upto"))
-    return single.unionByName(upto.withColumn("_place", F.explode(places)).select(*single.columns))
+    dealt = rows.repartition("k").withColumn("right", F.col("l").isNull())
+    place = F.row_number().over(Window.partitionBy("k", "right").orderBy("l", "r"))
+    along = Window.partitionBy("k").orderBy("place", "right")
+    placed = dealt.withColumn("place", place.cast("bigint"))
+    meets = F.lead("place").over(along) == F.col("place")
+    return placed.withColumn("other", F.when(meets, F.lead("r").over(along))).select("l", "r", "place", "other")
+
+
+def placed_over_slices(side: DataFrame, row: str) -> DataFrame:
+    """Add ``place`` to rows of few keys. Equal rows are counted first, and places run over slices of rows."""
+    counted = side.groupBy(F.struct("k").alias("key"), row).agg(F.count(F.lit(1)).alias("copies"))
+    upto = running_total(counted, ["key"], [row], "copies")
+    places = F.sequence(F.col("upto") - F.col("copies") + 1, F.col("upto"))
+    return upto.select("key", row, F.explode(places).alias("place"))
+
+
+def met_over_slices(rows: DataFrame) -> DataFrame:
+    """As ``met_by_key``, but a key may hold any share of the rows; pairs are rows themselves."""
+    left = placed_over_slices(rows.filter(F.col("l").isNotNull()).select("k", "l"), "l")
+    right = placed_over_slices(rows.filter(F.col("r").isNotNull()).select("k", "r"), "r")
+    paired = left.join(right, ["key", "place"], "full_outer")
+    return paired.select("l", "r", "place", F.when(F.col("l").isNotNull(), F.col("r")).alias("other"))
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -48,6 +89,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     those that one side has more of are on one side only; ``left_repeated`` and
     ``right_repeated`` count the rows after the first of their key. A missing key is a key.
     A column that one table lacks has a row of its own, with ``side`` and nothing compared.
+
+    Rows of both tables are dealt out by key in one shuffle, in up to ``PASSES`` passes; the few
+    keys that hold much of the rows go over slices of the order. The tables are read to count
+    keys and once per pass, so they are better staged.
     """
     columns = [name for name in left.columns if name != key and name in right.columns]
     fractional = {
@@ -55,40 +100,38 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         for field in left.schema.fields
         if isinstance(field.dataType, (T.FractionalType, T.DecimalType))
     }
-    # Keys of several rows, from counts per key; staged, the planner knows how many they are.
-    counts = [
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side)) for side, df in (("l", left), ("r", right))
-    ]
-    repeats = stage(counts[0].unionByName(counts[1]).filter("n > 1"), "repeated")
-    keys = repeats.select(key).distinct()
     sides = [
-        numbered(df.select(key, *columns), key, columns, keys).select(
-            F.col(key), "_place", F.struct(F.lit(True).alias("_there"), *columns).alias(side)
-        )
+        df.select(F.col(f"`{key}`").alias("k"), F.struct(*[f"`{name}`" for name in columns] or [F.lit(True)]).alias(side))
         for df, side in ((left, "l"), (right, "r"))
     ]
-    other = sides[1].withColumnsRenamed({key: "_other", "_place": "_other_place"})
-    meets = F.col(key).eqNullSafe(F.col("_other")) & (F.col("_place") == F.col("_other_place"))
-    joined = sides[0].join(other, meets, "full_outer")
-    both = F.col("l").isNotNull() & F.col("r").isNotNull()
+    rows = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    counted = rows.groupBy(bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = {row.bucket: row.n for row in counted.collect()}
+    hot, slices = hot_keys(rows.select("k"), counts), []
+    if hot is not None:
+        hot = hot.withColumnRenamed("k", "_hot")
+        same = F.col("k").eqNullSafe(F.col("_hot"))
+        slices = [met_over_slices(rows.join(hot, same, "left_semi"))]
+        rows = rows.join(hot, same, "left_anti")
+    passes = min(PASSES, 1 + sum(counts.values()) // PASS_ROWS)
+    met = [met_by_key(rows.filter(bucket() % passes == number)) for number in range(passes)] + slices
+    is_left, is_right, both = (F.col(name).isNotNull() for name in ("l", "r", "other"))
 
     def differs(name: str) -> Column:
-        a, b = F.col(f"l.`{name}`"), F.col(f"r.`{name}`")
+        a, b = F.col(f"l.`{name}`"), F.col(f"other.`{name}`")
         return both & ~(close(a, b) if name in fractional else a.eqNullSafe(b))
 
-    found = joined.agg(
-        F.count_if(both).alias("compared"),
-        F.count_if(F.col("r").isNull()).alias("left_only"),
-        F.count_if(F.col("l").isNull()).alias("right_only"),
-        *[F.count_if(differs(name)).alias(f"differ_{name}") for name in columns],
-    )
-    more = repeats.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n") - 1)), F.lit(0)).alias(name)
-            for side, name in (("l", "left_repeated"), ("r", "right_repeated"))
-        ]
-    )
-    one_row = found.crossJoin(F.broadcast(more))
+    found = {
+        "compared": F.count_if(both),
+        "left_only": F.count_if(is_left & ~both),
+        "right_only": F.count_if(is_right) - F.count_if(both),
+        "left_repeated": F.count_if(is_left & (F.col("place") > 1)),
+        "right_repeated": F.count_if(is_right & (F.col("place") > 1)),
+        **{f"differ_{name}": F.count_if(differs(name)) for name in columns},
+    }
+    # One row per pass.
+    rows_found = [stage_compact(part.agg(*[count.alias(name) for name, count in found.items()]), "found") for part in met]
+    one_row = reduce(DataFrame.unionByName, rows_found).agg(*[F.sum(f"`{name}`").alias(name) for name in found])
     nothing = F.lit(None).cast("bigint")
 
     def report(name: str, side: str, compared: Column, mismatched: Column) -> list[Column]:
